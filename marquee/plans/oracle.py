@@ -67,8 +67,9 @@ scores AS (
   FROM pairs GROUP BY uid, cand)""",
     "lines": """lines AS (
   SELECT concat_ws(chr(9), CAST(l_orderkey AS VARCHAR), CAST(l_partkey AS VARCHAR), CAST(l_suppkey AS VARCHAR),
-         CAST(l_linenumber AS VARCHAR), printf('%.2f', l_quantity), printf('%.2f', l_extendedprice),
-         printf('%.2f', l_discount), printf('%.2f', l_tax), l_returnflag, l_linestatus,
+         CAST(l_linenumber AS VARCHAR), CAST(CAST(l_quantity AS DECIMAL(18,2)) AS VARCHAR),
+         CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR), CAST(CAST(l_discount AS DECIMAL(18,2)) AS VARCHAR),
+         CAST(CAST(l_tax AS DECIMAL(18,2)) AS VARCHAR), l_returnflag, l_linestatus,
          strftime(l_shipdate, '%Y-%m-%d'), CAST(o_custkey AS VARCHAR), o_orderstatus, o_orderpriority) AS value
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey)""",
 }

@@ -18,7 +18,13 @@ from marquee.operators import stats
 from marquee.operators.factors import top_n_by_dot
 from marquee.operators.similarity import item_similarity, pair_similarity, similar_lists
 from marquee.plans.oracle import FIXTURE_GENRES, genre_values, with_ctes
+from marquee.schemas import LOG_RECORD_FIELDS
+from marquee.session import scratch_dir
 from marquee.sources import fixtures as fx
+from marquee.sources import text
+from marquee.streaming import realtime as srt
+from marquee.streaming import state as sstate
+from marquee.streaming.ingest import ingest_logs
 
 Query = Callable[[SparkSession, str], DataFrame]
 DIGITS = 6
@@ -137,6 +143,91 @@ def q_realtime_recs_text(spark, sf):
     return rt.realtime_recs(fx.rating_log(spark, sf), _sims(spark, sf))
 
 
+# ------------------------------------------------------------------ parsing
+
+def _lines(df: DataFrame, delim: str) -> DataFrame:
+    return df.select(F.concat_ws(delim, *[F.col(c).cast("string") for c in df.columns]).alias("value"))
+
+
+def q_parse_movies(spark, sf):
+    return text.parse_movie_lines(_lines(fx.movies(spark, sf), "^"))
+
+
+def q_parse_ratings(spark, sf):
+    return text.parse_rating_lines(_lines(fx.ratings(spark, sf), ","))
+
+
+def q_parse_tags(spark, sf):
+    return text.parse_tag_lines(_lines(fx.tags(spark, sf), ","))
+
+
+def q_rating_messages(spark, sf):
+    log = fx.rating_log(spark, sf).select("uid", "mid", "score", "timestamp")
+    return text.parse_rating_messages(_lines(log, "|"))
+
+
+def q_recent_items(spark, sf):
+    lists = text.encode_recent_items(rt.recent_ratings(fx.rating_log(spark, sf)))
+    return text.parse_recent_items(lists)
+
+
+def q_typed_log_records(spark, sf):
+    good, _bad = text.typed_log_records(fx.log_lines(spark, sf), "wechat")
+    return good
+
+
+# ---------------------------------------------------------------- streaming
+
+def _event_stream(spark, sf) -> DataFrame:
+    """The events table as a file stream (a glob: a single-file path is not
+    a valid streaming source)."""
+    import os
+    schema = fx.table(spark, sf, "events").schema
+    return spark.readStream.schema(schema).parquet(os.path.join(sf, "events.parque[t]"))
+
+
+def _stored_sims(spark, sf) -> DataFrame:
+    """The similarity relation written once to the shared scratch folder, so
+    each micro-batch reads a table instead of recomputing it."""
+    path = scratch_dir(spark, "sims")
+    _sims(spark, sf).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def q_realtime_stream(spark, sf):
+    root = scratch_dir(spark, "realtime")
+    stream = fx.rating_events(_event_stream(spark, sf), fx.n_items(spark, sf))
+    q = srt.run_realtime(stream, _stored_sims(spark, sf), fx.rating_log(spark, sf),
+                         f"{root}/recs", f"{root}/ckpt", trigger={"availableNow": True})
+    q.awaitTermination()
+    return srt.current_stream_recs(spark, f"{root}/recs")
+
+
+def q_recent_state_stream(spark, sf):
+    root = scratch_dir(spark, "recent")
+    stream = fx.rating_events(_event_stream(spark, sf), fx.n_items(spark, sf))
+    q = sstate.run_recent_state(stream, f"{root}/lists", f"{root}/ckpt", trigger={"availableNow": True})
+    q.awaitTermination()
+    return sstate.current_recent_lists(spark, f"{root}/lists")
+
+
+def q_spool_lines_stream(spark, sf):
+    root = scratch_dir(spark, "spool")
+    fx.log_lines(spark, sf).write.text(f"{root}/in")
+    q = ingest_logs(spark, f"{root}/in", f"{root}/ckpt", sink_fmt="parquet", sink_path=f"{root}/out",
+                    archive_dir=f"{root}/archive", record_kind="wechat", trigger={"availableNow": True})
+    q.awaitTermination()
+    return spark.read.parquet(f"{root}/out").select(*LOG_RECORD_FIELDS["wechat"])
+
+
+# ---------------------------------------------------------------------- ALS
+
+def q_als_user_top10(spark, sf):
+    from marquee.operators.factors import train_als, user_recs
+    model = train_als(fx.ratings(spark, sf))
+    return user_recs(model, fx.movies(spark, sf)).select("uid", "rank", "mid", _r("score"))
+
+
 QUERIES: dict[str, Query] = {
     "rating_count_by_movie": q_rating_count_by_movie,
     "avg_score_by_movie": q_avg_score_by_movie,
@@ -156,8 +247,21 @@ QUERIES: dict[str, Query] = {
     "similar_unrated_top10": q_similar_unrated_top10,
     "realtime_scores": q_realtime_scores,
     "realtime_recs_text": q_realtime_recs_text,
+    "parse_movies": q_parse_movies,
+    "parse_ratings": q_parse_ratings,
+    "parse_tags": q_parse_tags,
+    "rating_messages": q_rating_messages,
+    "recent_items": q_recent_items,
+    "typed_log_records": q_typed_log_records,
+    "realtime_stream": q_realtime_stream,
+    "recent_state_stream": q_recent_state_stream,
+    "spool_lines_stream": q_spool_lines_stream,
+    "als_user_top10": q_als_user_top10,
 }
 
+_SPLIT14 = ", ".join(f"string_split(value, chr(9))[{i + 1}] AS {n}"
+                     for i, n in enumerate(LOG_RECORD_FIELDS["wechat"]))
+
 YM = "strftime(TIMESTAMP '1970-01-01 00:00:00' + to_seconds(\"timestamp\"), '%Y%m')"
 
 ORACLE: dict[str, str] = {
@@ -214,4 +318,17 @@ WHERE p.mid_b IS NOT NULL"""),
         """SELECT t.uid, coalesce(e.recms, '') AS recms FROM trig t LEFT JOIN (
   SELECT uid, string_agg(printf('%d:%.6f', mid, score), '|' ORDER BY score DESC, mid ASC) AS recms
   FROM scores GROUP BY uid) e ON t.uid = e.uid"""),
+    "parse_movies": with_ctes(["movies"], "SELECT * FROM movies"),
+    "parse_ratings": with_ctes(["ratings"], "SELECT * FROM ratings"),
+    "parse_tags": with_ctes(["tags"], "SELECT * FROM tags"),
+    "rating_messages": with_ctes(["log"], 'SELECT uid, mid, score, "timestamp" FROM log'),
+    "recent_items": with_ctes(["rec"], "SELECT uid, pos, mid, score FROM rec"),
+    "typed_log_records": with_ctes(["lines"], f"SELECT {_SPLIT14} FROM lines"),
+    "realtime_stream": with_ctes(
+        ["scores"],
+        """SELECT t.uid, coalesce(e.recms, '') AS recms FROM trig t LEFT JOIN (
+  SELECT uid, string_agg(printf('%d:%.6f', mid, score), '|' ORDER BY score DESC, mid ASC) AS recms
+  FROM scores GROUP BY uid) e ON t.uid = e.uid"""),
+    "recent_state_stream": with_ctes(["rec"], "SELECT uid, pos, mid, score FROM rec"),
+    "spool_lines_stream": with_ctes(["lines"], f"SELECT {_SPLIT14} FROM lines"),
 }

@@ -83,13 +83,21 @@ def item_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def n_items(spark: SparkSession, sf_dir: str) -> int:
+    return table(spark, sf_dir, "embeddings").select(F.count(F.lit(1))).scalar()
+
+
 def rating_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Timestamped rating events: uid, mid, score, timestamp, ts, event_id."""
-    n_items = table(spark, sf_dir, "embeddings").select(F.count(F.lit(1))).scalar()
-    ev = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "value")
+    return rating_events(table(spark, sf_dir, "events"), n_items(spark, sf_dir))
+
+
+def rating_events(events: DataFrame, n_items: int) -> DataFrame:
+    """``events`` rows (batch or streaming) as rating events."""
+    ev = events.select("event_id", "user_id", "ts", "value")
     return ev.select(
         F.col("user_id").cast("int").alias("uid"),
-        F.pmod(F.col("event_id"), n_items).cast("int").alias("mid"),
+        F.pmod(F.col("event_id"), F.lit(n_items)).cast("int").alias("mid"),
         F.least(F.lit(5.0), F.lit(0.5) + F.floor(F.col("value") / 10) * 0.5).cast("double").alias("score"),
         epoch_seconds("ts").cast("int").alias("timestamp"),
         "ts",
@@ -111,10 +119,10 @@ def log_lines(spark: SparkSession, sf_dir: str, delim: str = "\t") -> DataFrame:
         F.col("l_partkey").cast("string"),
         F.col("l_suppkey").cast("string"),
         F.col("l_linenumber").cast("string"),
-        F.format_string("%.2f", "l_quantity"),
-        F.format_string("%.2f", "l_extendedprice"),
-        F.format_string("%.2f", "l_discount"),
-        F.format_string("%.2f", "l_tax"),
+        F.col("l_quantity").cast("decimal(18,2)").cast("string"),
+        F.col("l_extendedprice").cast("decimal(18,2)").cast("string"),
+        F.col("l_discount").cast("decimal(18,2)").cast("string"),
+        F.col("l_tax").cast("decimal(18,2)").cast("string"),
         F.col("l_returnflag"),
         F.col("l_linestatus"),
         F.date_format("l_shipdate", "yyyy-MM-dd"),
