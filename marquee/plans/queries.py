@@ -80,6 +80,14 @@ def _sims(spark, sf):
     return item_similarity(fx.item_features(spark, sf))
 
 
+def _stored_sims(spark, sf) -> DataFrame:
+    """The similarity relation written once to the shared scratch folder, so
+    each micro-batch reads a table instead of recomputing it."""
+    path = scratch_dir(spark, "sims")
+    _sims(spark, sf).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def q_item_similarity(spark, sf):
     return _sims(spark, sf).select("mid", "other_mid", _r("sim"))
 
@@ -114,13 +122,15 @@ def q_rated_history(spark, sf):
 
 
 def q_pair_similarity(spark, sf):
-    """Each event paired with the same user's previous event."""
-    from pyspark.sql import Window
+    """sim(candidate, recent) for every candidate of a user's latest rating
+    and each of the user's newest 11 ratings; 0.0 when the pair is not
+    similar. At most 10 x 11 pairs per user, whatever the user's volume."""
     log = fx.rating_log(spark, sf)
-    w = Window.partitionBy("uid").orderBy("ts", "event_id")
-    pairs = log.select("event_id", F.col("mid").alias("mid_a"),
-                       F.lag("mid").over(w).alias("mid_b")).where(F.col("mid_b").isNotNull())
-    return pair_similarity(pairs, _sims(spark, sf)).select("event_id", "mid_a", "mid_b", _r("sim"))
+    sims = _stored_sims(spark, sf)
+    cand = rt.similar_unrated_top_n(rt.latest_per_user(log), sims, rt.rated_history(log))
+    pairs = cand.select("uid", F.col("mid").alias("mid_a")).join(
+        rt.recent_ratings(log).select("uid", "pos", F.col("mid").alias("mid_b")), "uid")
+    return pair_similarity(pairs, sims).select("uid", "mid_a", "pos", "mid_b", _r("sim"))
 
 
 def q_similar_unrated_top10(spark, sf):
@@ -132,7 +142,7 @@ def q_similar_unrated_top10(spark, sf):
 def _scores(spark, sf):
     log = fx.rating_log(spark, sf)
     return rt.realtime_scores(rt.latest_per_user(log), rt.recent_ratings(log),
-                              rt.rated_history(log), _sims(spark, sf))
+                              rt.rated_history(log), _stored_sims(spark, sf))
 
 
 def q_realtime_scores(spark, sf):
@@ -140,7 +150,7 @@ def q_realtime_scores(spark, sf):
 
 
 def q_realtime_recs_text(spark, sf):
-    return rt.realtime_recs(fx.rating_log(spark, sf), _sims(spark, sf))
+    return rt.realtime_recs(fx.rating_log(spark, sf), _stored_sims(spark, sf))
 
 
 # ------------------------------------------------------------------ parsing
@@ -186,14 +196,6 @@ def _event_stream(spark, sf) -> DataFrame:
     return spark.readStream.schema(schema).parquet(os.path.join(sf, "events.parque[t]"))
 
 
-def _stored_sims(spark, sf) -> DataFrame:
-    """The similarity relation written once to the shared scratch folder, so
-    each micro-batch reads a table instead of recomputing it."""
-    path = scratch_dir(spark, "sims")
-    _sims(spark, sf).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
-
-
 def q_realtime_stream(spark, sf):
     root = scratch_dir(spark, "realtime")
     stream = fx.rating_events(_event_stream(spark, sf), fx.n_items(spark, sf))
@@ -306,11 +308,10 @@ WHERE rank <= 10""",
     "recent_ratings": with_ctes(["rec"], "SELECT uid, pos, mid, score FROM rec"),
     "rated_history": with_ctes(["hist"], "SELECT uid, mid FROM hist"),
     "pair_similarity": with_ctes(
-        ["sims", "log"],
-        """SELECT p.event_id, p.mid_a, p.mid_b, round(coalesce(s.sim, 0.0), 6) AS sim FROM (
-  SELECT event_id, mid AS mid_a, lag(mid) OVER (PARTITION BY uid ORDER BY ts, event_id) AS mid_b FROM log) p
-LEFT JOIN sims s ON s.mid = p.mid_a AND s.other_mid = p.mid_b
-WHERE p.mid_b IS NOT NULL"""),
+        ["cand", "rec"],
+        """SELECT c.uid, c.mid AS mid_a, r.pos, r.mid AS mid_b, round(coalesce(s.sim, 0.0), 6) AS sim
+FROM cand c JOIN rec r ON c.uid = r.uid
+LEFT JOIN sims s ON s.mid = c.mid AND s.other_mid = r.mid"""),
     "similar_unrated_top10": with_ctes(["cand"], "SELECT uid, rank, mid, round(sim, 6) AS sim FROM cand"),
     "realtime_scores": with_ctes(["scores"], "SELECT uid, mid, round(score, 6) AS score FROM scores"),
     "realtime_recs_text": with_ctes(

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.functions.expr import epoch_seconds, fold_vector
@@ -83,7 +83,8 @@ def item_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def n_items(spark: SparkSession, sf_dir: str) -> int:
+def n_items(spark: SparkSession, sf_dir: str) -> Column:
+    """Number of items, as a scalar subquery (run once per query)."""
     return table(spark, sf_dir, "embeddings").select(F.count(F.lit(1))).scalar()
 
 
@@ -92,7 +93,7 @@ def rating_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rating_events(table(spark, sf_dir, "events"), n_items(spark, sf_dir))
 
 
-def rating_events(events: DataFrame, n_items: int) -> DataFrame:
+def rating_events(events: DataFrame, n_items) -> DataFrame:
     """``events`` rows (batch or streaming) as rating events."""
     ev = events.select("event_id", "user_id", "ts", "value")
     return ev.select(
