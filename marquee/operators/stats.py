@@ -60,12 +60,26 @@ def movie_search_docs(movies: DataFrame, tags: DataFrame) -> DataFrame:
     return movies.join(tags_by_movie(tags), on="mid", how="left")
 
 
-def genre_match(movies: DataFrame, genres: Sequence[str] = DEFAULT_GENRES) -> DataFrame:
+MAX_GENRE_SEED = 10_000
+
+
+def _genre_list(genres) -> list[str]:
+    """A genre seed given as a relation is read once after a size check
+    (it is a small parameter table, never data that grows)."""
+    if isinstance(genres, DataFrame):
+        n = genres.count()
+        if n > MAX_GENRE_SEED:
+            raise ValueError(f"genre seed has {n} rows, more than {MAX_GENRE_SEED}")
+        return [r[0] for r in genres.select(genres.columns[0]).distinct().collect() if r[0] is not None]
+    return list(genres)
+
+
+def genre_match(movies: DataFrame, genres: Sequence[str] | DataFrame = DEFAULT_GENRES) -> DataFrame:
     """(genre, movie) for every genre contained, case-insensitively, in the
-    movie's genres text. The genre list is a fixed-size parameter, so the
+    movie's genres text. The genre list is a bounded parameter, so the
     theta join is a per-row filter over a literal array plus an explode:
     no join, no shuffle, linear in the movies."""
-    seed = F.array(*[F.lit(g) for g in genres])
+    seed = F.array(*[F.lit(g) for g in _genre_list(genres)])
     hits = F.filter(seed, lambda g: genre_matches("genres", g))
     return movies.select(F.explode(hits).alias("genre"), "*")
 
@@ -92,3 +106,8 @@ def genre_top_n(
 
 def distinct_users(ratings: DataFrame) -> DataFrame:
     return ratings.select("uid").distinct()
+
+
+def preview(df: DataFrame, n: int = 30) -> DataFrame:
+    """The first ``n`` rows, for a look at a result."""
+    return df.limit(n)
