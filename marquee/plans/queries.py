@@ -199,7 +199,11 @@ def _event_stream(spark, sf) -> DataFrame:
 def q_realtime_stream(spark, sf):
     root = scratch_dir(spark, "realtime")
     stream = fx.rating_events(_event_stream(spark, sf), fx.n_items(spark, sf))
-    q = srt.run_realtime(stream, _stored_sims(spark, sf), fx.rating_log(spark, sf),
+    # the rating history is stored bucketed by user, so each micro-batch
+    # reads only the buckets of its users
+    srt.write_history(fx.rating_log(spark, sf).select("uid", "mid", "score", "timestamp", "ts", "event_id"),
+                      f"{root}/history")
+    q = srt.run_realtime(stream, _stored_sims(spark, sf), spark.read.parquet(f"{root}/history"),
                          f"{root}/recs", f"{root}/ckpt", trigger={"availableNow": True})
     q.awaitTermination()
     return srt.current_stream_recs(spark, f"{root}/recs")
