@@ -61,3 +61,14 @@ def test_top_n_by_dot_equals_brute_force(spark):
         want += [(u, k + 1, i, -ns) for k, (ns, i) in enumerate(cand)]
     assert got == sorted(want)
     assert F is not None
+
+
+def test_predict_pairs_and_top_n_per_user(spark):
+    from marquee.operators.factors import predict_pairs, top_n_per_user
+    users = vectors(spark, [[1.0, 0.0], [0.0, 1.0]], "uid")
+    items = vectors(spark, [[2.0, 1.0], [-1.0, 3.0], [0.5, 0.5]])
+    pairs = spark.createDataFrame([(0, 0), (0, 1), (0, 2), (1, 0), (1, 1), (1, 9)], "uid int, mid int")
+    pred = {(r.uid, r.mid): r.prediction for r in predict_pairs(users, items, pairs).collect()}
+    assert pred == {(0, 0): 2.0, (0, 1): -1.0, (0, 2): 0.5, (1, 0): 1.0, (1, 1): 3.0}
+    top = [(r.uid, r.rank, r.mid) for r in top_n_per_user(predict_pairs(users, items, pairs), 1).collect()]
+    assert sorted(top) == [(0, 1, 0), (1, 1, 1)]

@@ -69,5 +69,16 @@ def test_top_n_plan_limits_before_shuffle(spark):
     r = ratings(spark, [(u, m, float(m % 5), 0) for u in range(5) for m in range(30)])
     m = movies(spark, [(i, "Drama") for i in range(30)])
     plan = stats.genre_top_n(m, r, ["Drama"], 3)._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" in plan or "Window" in plan
+    lines = plan.splitlines()
+    partial = next(i for i, ln in enumerate(lines) if "WindowGroupLimit" in ln and "Partial" in ln)
+    shuffle = next(i for i, ln in enumerate(lines) if "Exchange hashpartitioning(genre" in ln)
+    assert shuffle < partial          # the partial limit runs below (before) the genre shuffle
     assert F is not None
+
+
+def test_genre_seed_relation_and_preview(spark):
+    from marquee.sources.tables import genre_seed
+    m = movies(spark, [(1, "Action|Drama"), (2, "Comedy")])
+    got = sorted((r.genre, r.mid) for r in stats.genre_match(m, genre_seed(spark, ["Drama", "Comedy"])).collect())
+    assert got == [("Comedy", 2), ("Drama", 1)]
+    assert stats.preview(m, 1).count() == 1
