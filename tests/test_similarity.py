@@ -1,6 +1,4 @@
 import numpy as np
-from pyspark.sql import functions as F
-
 from marquee.functions.expr import cosine
 from marquee.operators.factors import top_n_by_dot
 from marquee.operators.similarity import item_similarity, pair_similarity, similar_lists
@@ -60,7 +58,6 @@ def test_top_n_by_dot_equals_brute_force(spark):
         cand = sorted((-s[i], i) for i in range(len(items)) if s[i] > 0)[:5]
         want += [(u, k + 1, i, -ns) for k, (ns, i) in enumerate(cand)]
     assert got == sorted(want)
-    assert F is not None
 
 
 def test_predict_pairs_and_top_n_per_user(spark):
