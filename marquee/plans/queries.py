@@ -200,11 +200,14 @@ def q_realtime_stream(spark, sf):
     root = scratch_dir(spark, "realtime")
     stream = fx.rating_events(_event_stream(spark, sf), fx.n_items(spark, sf))
     # the rating history is stored bucketed by user, so each micro-batch
-    # reads only the buckets of its users
+    # reads only the buckets of its users (bucket count sized to the test
+    # tables; the library default is for large histories)
+    buckets = 64
     srt.write_history(fx.rating_log(spark, sf).select("uid", "mid", "score", "timestamp", "ts", "event_id"),
-                      f"{root}/history")
+                      f"{root}/history", buckets)
     q = srt.run_realtime(stream, _stored_sims(spark, sf), spark.read.parquet(f"{root}/history"),
-                         f"{root}/recs", f"{root}/ckpt", trigger={"availableNow": True})
+                         f"{root}/recs", f"{root}/ckpt", trigger={"availableNow": True},
+                         history_buckets=buckets)
     q.awaitTermination()
     return srt.current_stream_recs(spark, f"{root}/recs")
 
