@@ -46,12 +46,11 @@ def rating_count_by_movie_month(ratings: DataFrame, tz: str = "UTC") -> DataFram
 
 
 def tags_by_movie(tags: DataFrame) -> DataFrame:
-    """Distinct tags of each movie, sorted, joined by ``|``. The distinct
-    step is a partial aggregate on (mid, tag) before the shuffle, so the
-    collected set per movie is bounded by its distinct tags, not its rows."""
-    distinct = tags.select("mid", "tag").where(F.col("tag").isNotNull()).distinct()
-    return distinct.groupBy("mid").agg(
-        F.concat_ws("|", F.array_sort(F.collect_list("tag"))).alias("tags")
+    """Distinct tags of each movie, sorted, joined by ``|``. ``collect_set``
+    is aggregated partially before the one shuffle on mid, so each map task
+    sends at most a movie's distinct tags, not its rows."""
+    return tags.where(F.col("tag").isNotNull()).groupBy("mid").agg(
+        F.concat_ws("|", F.array_sort(F.collect_set("tag"))).alias("tags")
     )
 
 
