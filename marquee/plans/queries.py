@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from marquee.operators import realtime as rt
 from marquee.operators import stats
-from marquee.operators.factors import top_n_by_dot
+from marquee.operators.factors import predict_pairs, top_n_by_dot
 from marquee.operators.similarity import item_similarity, pair_similarity, similar_lists
 from marquee.plans.oracle import FIXTURE_GENRES, genre_values, with_ctes
 from marquee.schemas import LOG_RECORD_FIELDS
@@ -106,6 +106,14 @@ def _user_profiles(spark, sf) -> DataFrame:
     return packed.select("uid", F.transform("s", lambda x: x["f"]).alias("features"))
 
 
+def q_factor_predict(spark, sf):
+    """Prediction dot(user, item) for every distinct (user, item) pair in the
+    rating log: linear in the pairs, no cross product."""
+    log = fx.rating_log(spark, sf)
+    pred = predict_pairs(_user_profiles(spark, sf), fx.item_features(spark, sf), rt.rated_history(log))
+    return pred.select("uid", "mid", _r("prediction"))
+
+
 def q_factor_top10(spark, sf):
     top = top_n_by_dot(_user_profiles(spark, sf), fx.item_features(spark, sf), 10, 0.0)
     return top.select("uid", "rank", "mid", _r("score"))
@@ -249,6 +257,7 @@ QUERIES: dict[str, Query] = {
     "distinct_users": q_distinct_users,
     "item_similarity": q_item_similarity,
     "similar_lists": q_similar_lists,
+    "factor_predict": q_factor_predict,
     "factor_top10": q_factor_top10,
     "recent_ratings": q_recent_ratings,
     "rated_history": q_rated_history,
@@ -304,6 +313,12 @@ WHERE rank <= 10""", [genre_values()]),
         ["sims"], "SELECT mid, CAST(count(*) AS INTEGER) AS n_similar, "
                   "string_agg(printf('%d:%.6f', other_mid, sim), '|' ORDER BY sim DESC, other_mid ASC) AS recs "
                   "FROM sims GROUP BY mid"),
+    "factor_predict": with_ctes(
+        ["feat", "hist"],
+        """SELECT h.uid, h.mid, round(sum(u.f * i.f), 6) AS prediction
+FROM hist h JOIN prof u ON u.uid = h.uid JOIN feat i ON i.mid = h.mid AND i.k = u.k
+GROUP BY h.uid, h.mid""",
+        ["prof AS (SELECT l.uid, f.k, avg(f.f) AS f FROM log l JOIN feat f ON l.mid = f.mid GROUP BY ALL)"]),
     "factor_top10": with_ctes(
         ["feat", "log"],
         """SELECT uid, CAST(rank AS INTEGER) AS rank, mid, round(score, 6) AS score FROM (
