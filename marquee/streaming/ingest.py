@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from marquee.sources.text import typed_log_records
 from marquee.streaming.sources import spool_stream
 
+# Fixed value: spool poll interval.
 POLL = "2 seconds"
 
 
