@@ -8,6 +8,7 @@ decimals on both sides, and every ranking ends in a unique tie-break.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 
 from marquee.operators import realtime as rt
 from marquee.operators import stats
-from marquee.operators.factors import predict_pairs, top_n_by_dot
+from marquee.operators.factors import predict_pairs, top_n_by_dot, train_als, user_recs
 from marquee.operators.similarity import item_similarity, pair_similarity, similar_lists
 from marquee.plans.oracle import FIXTURE_GENRES, genre_values, with_ctes
 from marquee.schemas import LOG_RECORD_FIELDS
@@ -199,7 +200,6 @@ def q_typed_log_records(spark, sf):
 def _event_stream(spark, sf) -> DataFrame:
     """The events table as a file stream (a glob: a single-file path is not
     a valid streaming source)."""
-    import os
     schema = fx.table(spark, sf, "events").schema
     return spark.readStream.schema(schema).parquet(os.path.join(sf, "events.parque[t]"))
 
@@ -240,7 +240,6 @@ def q_spool_lines_stream(spark, sf):
 # ---------------------------------------------------------------------- ALS
 
 def q_als_user_top10(spark, sf):
-    from marquee.operators.factors import train_als, user_recs
     model = train_als(fx.ratings(spark, sf))
     return user_recs(model, fx.movies(spark, sf)).select("uid", "rank", "mid", _r("score"))
 
