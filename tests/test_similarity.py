@@ -69,3 +69,10 @@ def test_predict_pairs_and_top_n_per_user(spark):
     assert pred == {(0, 0): 2.0, (0, 1): -1.0, (0, 2): 0.5, (1, 0): 1.0, (1, 1): 3.0}
     top = [(r.uid, r.rank, r.mid) for r in top_n_per_user(predict_pairs(users, items, pairs), 1).collect()]
     assert sorted(top) == [(0, 1, 0), (1, 1, 1)]
+
+
+def test_null_and_zero_vectors_have_no_pairs(spark):
+    df = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0, 0.1]), (3, None), (4, [0.0, 0.0]), (5, [1.0, None])],
+                               "mid int, features array<double>")
+    got = sorted((r.mid, r.other_mid) for r in item_similarity(df, 0.6).collect())
+    assert got == [(1, 2), (2, 1)]
