@@ -213,9 +213,11 @@ def q_realtime_stream(spark, sf):
     buckets = 64
     srt.write_history(fx.rating_log(spark, sf).select("uid", "mid", "score", "timestamp", "ts", "event_id"),
                       f"{root}/history", buckets)
-    q = srt.run_realtime(stream, _stored_sims(spark, sf), spark.read.parquet(f"{root}/history"),
+    # the similarity relation likewise, bucketed by movie
+    srt.write_sims(_sims(spark, sf), f"{root}/sims", buckets)
+    q = srt.run_realtime(stream, spark.read.parquet(f"{root}/sims"), spark.read.parquet(f"{root}/history"),
                          f"{root}/recs", f"{root}/ckpt", trigger={"availableNow": True},
-                         history_buckets=buckets)
+                         history_buckets=buckets, sims_buckets=buckets)
     q.awaitTermination()
     return srt.current_stream_recs(spark, f"{root}/recs")
 

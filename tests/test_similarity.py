@@ -25,7 +25,7 @@ def test_blocked_similarity_equals_brute_force(spark):
                     want[(a, b)] = s
     assert set(got) == set(want)
     assert all(abs(got[k] - want[k]) < 1e-12 for k in want)
-    assert all((b, a) in got for a, b in got)     # both directions
+    assert all(got[(b, a)] == got[(a, b)] for a, b in got)     # both directions, equal values
 
 
 def test_cosine_expression_zero_vector_is_null(spark):
