@@ -28,6 +28,19 @@ def test_write_table_replaces(spark, tmp_dir):
     assert spark.read.parquet(path).count() == 2
 
 
+def test_replace_drops_stale_partitions(spark, tmp_dir):
+    from marquee.streaming.realtime import write_history
+    path = os.path.join(tmp_dir, "h")
+    write_history(spark.createDataFrame([(u, 1, 1.0, 1) for u in range(50)], "uid int, mid int, score double, timestamp int"),
+                  path, 8)
+    write_history(spark.createDataFrame([(1, 1, 1.0, 1)], "uid int, mid int, score double, timestamp int"), path, 8)
+    assert spark.read.parquet(path).count() == 1
+    part = os.path.join(tmp_dir, "p")
+    write_table(spark.range(4).selectExpr("id", "id % 2 AS k"), part, partition_by=["k"])
+    write_table(spark.range(1).selectExpr("id", "id % 2 AS k"), part, partition_by=["k"])
+    assert spark.read.parquet(part).count() == 1
+
+
 def test_search_docs_unique_ids(spark, tmp_dir):
     docs = spark.createDataFrame([(1, "a"), (2, "b")], "mid int, name string")
     write_search_docs(docs, os.path.join(tmp_dir, "s"))
