@@ -76,3 +76,23 @@ def test_null_and_zero_vectors_have_no_pairs(spark):
                                "mid int, features array<double>")
     got = sorted((r.mid, r.other_mid) for r in item_similarity(df, 0.6).collect())
     assert got == [(1, 2), (2, 1)]
+
+
+def test_kernels_give_same_result_in_small_chunks(monkeypatch):
+    from marquee.operators import blocks
+    rng = np.random.default_rng(9)
+    lm, rm = rng.normal(size=(37, 4)), rng.normal(size=(23, 4))
+    lk, rk = np.arange(37), np.arange(100, 123)
+
+    def run(kernel, part):
+        out = kernel(lk, lm, rk, rm, part)
+        return sorted(map(tuple, out.values.tolist()))
+
+    for kernel in (blocks.cosine_threshold_kernel(0.3), blocks.topk_dot_kernel(4, None)):
+        for part in ("cross", "off"):
+            whole = run(kernel, part)
+            monkeypatch.setattr(blocks, "CHUNK_BYTES", 8 * 23 * 3)    # 3 rows per chunk
+            chunked = run(kernel, part)
+            monkeypatch.setattr(blocks, "CHUNK_BYTES", 32 << 20)
+            assert whole and [r[:2] for r in chunked] == [r[:2] for r in whole]
+            assert all(abs(a[2] - b[2]) < 1e-12 for a, b in zip(chunked, whole))
