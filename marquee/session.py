@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -43,6 +45,7 @@ def build_session(
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     scratch_root(spark)
+    ship_package(spark)
     return spark
 
 
@@ -67,3 +70,29 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     if "://" not in path or path.startswith("file:"):
         os.makedirs(path.removeprefix("file:"), exist_ok=True)
     return path
+
+
+_shipped: set[str] = set()
+_ship_lock = threading.Lock()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable on every executor's Python workers
+    (the pandas kernels reference its module-level helpers): zip it once per
+    application and ``addPyFile`` the archive, which Spark serves to the
+    executors and puts on their ``sys.path``."""
+    sc = spark.sparkContext
+    with _ship_lock:
+        if sc.applicationId in _shipped:
+            return
+        pkg = os.path.dirname(os.path.abspath(__file__))
+        root = os.path.dirname(pkg)
+        archive = os.path.join(tempfile.mkdtemp(prefix="marquee-pyfiles-"), "marquee.zip")
+        with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+            for dirpath, _dirs, files in os.walk(pkg):
+                for name in files:
+                    if name.endswith(".py"):
+                        full = os.path.join(dirpath, name)
+                        z.write(full, os.path.relpath(full, root))
+        sc.addPyFile(archive)
+        _shipped.add(sc.applicationId)
