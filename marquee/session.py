@@ -85,9 +85,20 @@ def ship_package(spark: SparkSession) -> None:
     with _ship_lock:
         if sc.applicationId in _shipped:
             return
+        submitted = spark.conf.get("spark.submit.pyFiles", "") or ""
+        if "marquee" in submitted:        # already shipped with --py-files
+            _shipped.add(sc.applicationId)
+            return
         pkg = os.path.dirname(os.path.abspath(__file__))
         root = os.path.dirname(pkg)
-        archive = os.path.join(tempfile.mkdtemp(prefix="marquee-pyfiles-"), "marquee.zip")
+        shared = scratch_root(spark)
+        if "://" in shared and not shared.startswith("file:"):
+            # zipfile cannot write to a remote store; the driver serves the
+            # archive to the executors from here
+            folder = tempfile.mkdtemp(prefix="marquee-pyfiles-")
+        else:
+            folder = scratch_dir(spark, "pyfiles").removeprefix("file:")
+        archive = os.path.join(folder, "marquee.zip")
         with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
             for dirpath, _dirs, files in os.walk(pkg):
                 for name in files:
