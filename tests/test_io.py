@@ -57,12 +57,24 @@ def test_lines_to_file_topic(spark, tmp_dir):
 
 
 def test_upsert_replay_and_compact(spark, tmp_dir):
-    path, snap = os.path.join(tmp_dir, "recs"), os.path.join(tmp_dir, "snap")
-    upsert_stream_recs(spark.createDataFrame([(1, "5:1.0"), (2, "")], "uid int, recms string"), 0, path)
-    upsert_stream_recs(spark.createDataFrame([(1, "7:2.0")], "uid int, recms string"), 1, path)
-    upsert_stream_recs(spark.createDataFrame([(1, "7:2.0")], "uid int, recms string"), 1, path)  # replay
+    path = os.path.join(tmp_dir, "recs")
+
+    def put(rows, batch_id):
+        upsert_stream_recs(spark.createDataFrame(rows, "uid int, recms string"), batch_id, path)
+
+    def current():
+        return {r.uid: r.recms for r in current_stream_recs(spark, path).collect()}
+
+    put([(1, "5:1.0"), (2, "")], 0)
+    put([(1, "7:2.0")], 1)
+    put([(1, "7:2.0")], 1)                                  # a replay rewrites batch 1
     assert spark.read.parquet(path).count() == 3
-    cur = {r.uid: r.recms for r in current_stream_recs(spark, path).collect()}
-    assert cur == {1: "7:2.0", 2: ""}
-    compact(spark, path, snap)
-    assert {r.uid: r.recms for r in spark.read.parquet(snap).collect()} == cur
+    assert current() == {1: "7:2.0", 2: ""}
+    compact(spark, path, 1)
+    put([(2, "9:3.0"), (3, "")], 2)
+    assert current() == {1: "7:2.0", 2: "9:3.0", 3: ""}
+    # reads start from the snapshot: log partitions up to batch 1 are pruned
+    plan = current_stream_recs(spark, path)._jdf.queryExecution().executedPlan().toString()
+    assert "batch_id#" in plan and "> 1" in plan
+    compact(spark, path, 2)
+    assert current() == {1: "7:2.0", 2: "9:3.0", 3: ""}
