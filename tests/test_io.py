@@ -78,3 +78,12 @@ def test_upsert_replay_and_compact(spark, tmp_dir):
     assert "batch_id#" in plan and "> 1" in plan
     compact(spark, path, 2)
     assert current() == {1: "7:2.0", 2: "9:3.0", 3: ""}
+
+
+def test_keyed_log_with_only_empty_batches(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "empty")
+    upsert_stream_recs(spark.createDataFrame([], "uid int, recms string"), 0, path)
+    assert current_stream_recs(spark, path).count() == 0
+    compact(spark, path, 0)
+    upsert_stream_recs(spark.createDataFrame([(4, "1:1.0")], "uid int, recms string"), 1, path)
+    assert [tuple(r) for r in current_stream_recs(spark, path).collect()] == [(4, "1:1.0")]
