@@ -31,12 +31,14 @@ DEFAULT_CONF = {
 
 
 def build_session(
-    master: str = "local[*]",
+    master: str | None = "local[*]",
     shuffle_partitions: int = 8,
     app: str = "marquee",
     conf: dict | None = None,
 ) -> SparkSession:
-    builder = SparkSession.builder.master(master).appName(app)
+    builder = SparkSession.builder.appName(app)
+    if master:      # None: keep the master given by spark-submit
+        builder = builder.master(master)
     settings = dict(DEFAULT_CONF)
     settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     settings.update(conf or {})
