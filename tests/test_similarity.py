@@ -96,3 +96,16 @@ def test_kernels_give_same_result_in_small_chunks(monkeypatch):
             monkeypatch.setattr(blocks, "CHUNK_BYTES", 32 << 20)
             assert whole and [r[:2] for r in chunked] == [r[:2] for r in whole]
             assert all(abs(a[2] - b[2]) < 1e-12 for a, b in zip(chunked, whole))
+
+
+def test_block_layout_does_not_change_results_on_real_tables(spark):
+    from marquee.sources import fixtures as fx
+    sf = "/root/testdata/sf0.01"
+    feats = fx.item_features(spark, sf)
+    default = {(r.mid, r.other_mid): round(r.sim, 9) for r in item_similarity(feats).collect()}
+    small = {(r.mid, r.other_mid): round(r.sim, 9) for r in item_similarity(feats, block_rows=37).collect()}
+    assert default == small and len(default) == 10872
+    users = feats.select(feats.mid.alias("uid"), "features")
+    a = sorted((r.uid, r.rank, r.mid) for r in top_n_by_dot(users, feats, 10).collect())
+    b = sorted((r.uid, r.rank, r.mid) for r in top_n_by_dot(users, feats, 10, block_rows=23).collect())
+    assert a == b and len(a) > 0
