@@ -79,8 +79,9 @@ def genre_match(movies: DataFrame, genres: Sequence[str] | DataFrame = DEFAULT_G
     theta join is a per-row filter over a literal array plus an explode:
     no join, no shuffle, linear in the movies."""
     seed = F.array(*[F.lit(g) for g in _genre_list(genres)])
-    hits = F.filter(seed, lambda g: genre_matches("genres", g))
-    return movies.select(F.explode(hits).alias("genre"), "*")
+    # explode + filter (both in whole-stage codegen; a lambda would not be)
+    pairs = movies.select(F.explode(seed).alias("genre"), "*")
+    return pairs.where(genre_matches("genres", "genre"))
 
 
 def genre_top_n(
