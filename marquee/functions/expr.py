@@ -37,7 +37,16 @@ def genre_matches(genres, genre) -> Column:
     return F.coalesce(F.contains(F.lower(_col(genres)), F.lower(_col(genre))), F.lit(False))
 
 
-def dot(a, b) -> Column:
+def dot(a, b, dim: int | None = None) -> Column:
+    """Dot product of two arrays. With a known ``dim`` it is unrolled into
+    plain arithmetic (whole-stage codegen; same left-to-right sum);
+    otherwise a higher-order expression over any length."""
+    if dim:
+        terms = [F.get(_col(a), i).cast("double") * F.get(_col(b), i).cast("double") for i in range(dim)]
+        out = terms[0]
+        for t in terms[1:]:
+            out = out + t
+        return out
     return F.aggregate(
         F.zip_with(_col(a), _col(b), lambda x, y: x.cast("double") * y.cast("double")),
         F.lit(0.0), lambda acc, v: acc + v,

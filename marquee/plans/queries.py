@@ -111,7 +111,8 @@ def q_factor_predict(spark, sf):
     """Prediction dot(user, item) for every distinct (user, item) pair in the
     rating log: linear in the pairs, no cross product."""
     log = fx.rating_log(spark, sf)
-    pred = predict_pairs(_user_profiles(spark, sf), fx.item_features(spark, sf), rt.rated_history(log))
+    pred = predict_pairs(_user_profiles(spark, sf), fx.item_features(spark, sf), rt.rated_history(log),
+                         fx.FEATURE_DIMS)
     return pred.select("uid", "mid", _r("prediction"))
 
 

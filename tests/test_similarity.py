@@ -109,3 +109,12 @@ def test_block_layout_does_not_change_results_on_real_tables(spark):
     a = sorted((r.uid, r.rank, r.mid) for r in top_n_by_dot(users, feats, 10).collect())
     b = sorted((r.uid, r.rank, r.mid) for r in top_n_by_dot(users, feats, 10, block_rows=23).collect())
     assert a == b and len(a) > 0
+
+
+def test_unrolled_dot_equals_generic(spark):
+    from marquee.functions.expr import dot
+    rng = np.random.default_rng(4)
+    rows = [([float(x) for x in rng.normal(size=5)], [float(x) for x in rng.normal(size=5)]) for _ in range(50)]
+    df = spark.createDataFrame(rows, "a array<double>, b array<double>")
+    got = df.select(dot("a", "b").alias("g"), dot("a", "b", 5).alias("u")).collect()
+    assert all(r.g == r.u for r in got)
