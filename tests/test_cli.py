@@ -24,3 +24,14 @@ def test_cli_load_then_statistics(tmp_dir):
                    check=True, env=env, cwd=tmp_dir, timeout=600, capture_output=True)
     for name in ("search", "ratingScore", "popularMovie", "avgScore", "GenretopTen"):
         assert os.path.isdir(os.path.join(out, name)), name
+    subprocess.run(base + ["offline", "--ratings", f"{out}/Rating", "--movies", f"{out}/Movie", "--out", out],
+                   check=True, env=env, cwd=tmp_dir, timeout=900, capture_output=True)
+    assert os.path.isdir(os.path.join(out, "UserRecms")) and os.path.isdir(os.path.join(out, "MovieSims"))
+    inbox = os.path.join(tmp_dir, "inbox")
+    os.makedirs(inbox)
+    with open(os.path.join(inbox, "m.txt"), "w") as f:
+        f.write("2|2|4.0|1564412099\n")
+    subprocess.run(base + ["realtime", "--sims", f"{out}/MovieSims", "--ratings", f"{out}/Rating", "--out", out,
+                           "--checkpoint", f"{tmp_dir}/ck", "--inbox", inbox, "--once"],
+                   check=True, env=env, cwd=tmp_dir, timeout=600, capture_output=True)
+    assert os.path.isdir(os.path.join(out, "StreamRecms", "batch_id=0"))
