@@ -35,3 +35,19 @@ def test_cli_load_then_statistics(tmp_dir):
                            "--checkpoint", f"{tmp_dir}/ck", "--inbox", inbox, "--once"],
                    check=True, env=env, cwd=tmp_dir, timeout=600, capture_output=True)
     assert os.path.isdir(os.path.join(out, "StreamRecms", "batch_id=0"))
+
+
+def test_cli_ingest_to_folder(tmp_dir):
+    spool = os.path.join(tmp_dir, "spool", "day1")
+    os.makedirs(spool)
+    with open(os.path.join(spool, "a.txt"), "w") as f:
+        f.write("first line\nsecond line\n")
+    env = dict(os.environ, PYTHONPATH=REPO)
+    subprocess.run([sys.executable, "-m", "marquee", "--master", "local[2]", "--shuffle-partitions", "4", "ingest",
+                    "--spool", os.path.join(tmp_dir, "spool"), "--checkpoint", os.path.join(tmp_dir, "ck"),
+                    "--sink", os.path.join(tmp_dir, "out"), "--once"],
+                   check=True, env=env, cwd=tmp_dir, timeout=600, capture_output=True)
+    import pyarrow.parquet as pq
+    table = pq.read_table(os.path.join(tmp_dir, "out"))
+    assert sorted(table.column("value").to_pylist()) == ["first line", "second line"]
+    assert set(table.column("filename").to_pylist()) == {"a.txt"}
