@@ -54,6 +54,7 @@ def dot(a, b, dim: int | None = None) -> Column:
 
 
 def norm(a) -> Column:
+    """Euclidean length of an array (as double)."""
     return F.sqrt(F.aggregate(_col(a), F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double")))
 
 

@@ -27,6 +27,7 @@ def rating_count_by_movie(ratings: DataFrame, ordered: bool = False) -> DataFram
 
 
 def avg_score_by_movie(ratings: DataFrame) -> DataFrame:
+    """Average score per movie (partial sums and counts map-side)."""
     return ratings.groupBy("mid").agg(F.avg("score").alias("avg_score"))
 
 
@@ -105,6 +106,7 @@ def genre_top_n(
 
 
 def distinct_users(ratings: DataFrame) -> DataFrame:
+    """Every user that has rated (a partial distinct, one shuffle)."""
     return ratings.select("uid").distinct()
 
 

@@ -36,6 +36,9 @@ def build_session(
     app: str = "marquee",
     conf: dict | None = None,
 ) -> SparkSession:
+    """A session with the package defaults (see ``DEFAULT_CONF``), a
+    scratch folder and the package shipped to the executors. ``master=None``
+    keeps the master chosen by spark-submit."""
     builder = SparkSession.builder.appName(app)
     if master:      # None: keep the master given by spark-submit
         builder = builder.master(master)
