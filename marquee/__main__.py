@@ -5,7 +5,8 @@
     python -m marquee offline     --ratings DIR/Rating --movies DIR/Movie --out DIR
     python -m marquee realtime    --sims DIR/MovieSims --ratings DIR/Rating --out DIR
                                   --checkpoint CK (--topic recom --bootstrap HOST:PORT | --inbox FOLDER)
-    python -m marquee ingest      --spool FOLDER --checkpoint CK (--topic T --bootstrap HOST:PORT | --sink DIR)
+    python -m marquee ingest      --spool FOLDER --checkpoint CK (--topic T --bootstrap HOST:PORT | --sink DIR
+                                  [--kind wechat|mail [--bad DIR]])
 
 ``--master`` defaults to the one given by spark-submit (or ``local[*]``);
 ``--once`` processes what is available and stops (streaming jobs).
@@ -59,6 +60,9 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--bootstrap", default=None)
     s.add_argument("--sink", default=None, help="write lines to this folder (parquet) instead of a topic")
     s.add_argument("--max-files", type=int, default=100)
+    s.add_argument("--kind", choices=["wechat", "mail"], default=None,
+                   help="split lines into this record kind's 14 fields (folder sink)")
+    s.add_argument("--bad", default=None, help="keep lines of another field count here (with --kind)")
     s.add_argument("--once", action="store_true")
     return p
 
@@ -86,7 +90,8 @@ def main(argv: list[str] | None = None) -> int:
     elif args.job == "ingest":
         if args.sink:
             q = jobs.ingest_logs(spark, args.spool, args.checkpoint, sink_fmt="parquet", sink_path=args.sink,
-                                 archive_dir=args.archive, max_files=args.max_files, trigger=once)
+                                 archive_dir=args.archive, max_files=args.max_files, trigger=once,
+                                 record_kind=args.kind, bad_path=args.bad)
         else:
             q = jobs.ingest_logs(spark, args.spool, args.checkpoint, sink_fmt="kafka", topic=args.topic,
                                  archive_dir=args.archive, max_files=args.max_files, trigger=once,

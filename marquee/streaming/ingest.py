@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from marquee.sinks import keyed_log
 from marquee.sources.text import typed_log_records
 from marquee.streaming.sources import spool_stream
 
@@ -31,6 +32,7 @@ def ingest_logs(
     delim: str = "\t",
     trigger: dict | None = None,
     sink_options: dict | None = None,
+    bad_path: str | None = None,
 ) -> StreamingQuery:
     """Start the ingest query.
 
@@ -39,8 +41,27 @@ def ingest_logs(
     appends rows to ``sink_path``. With
     ``record_kind`` ('wechat' or 'mail') lines are split into the kind's
     named fields first (lines with another field count are dropped from the
-    typed output)."""
+    typed output, or kept under ``bad_path`` with the reason when it is
+    given: then each micro-batch writes its typed rows under ``sink_path``
+    and its rejects under ``bad_path`` as partition ``batch_id=N``, so a
+    replay rewrites the same partitions)."""
     lines = spool_stream(spark, spool_dir, archive_dir, max_files)
+    if record_kind and bad_path:
+        if sink_fmt == "kafka":
+            raise ValueError("bad_path needs a table sink, not a topic")
+        keep = ["filename", "file_path", "archive_date"]
+
+        def handle(batch: DataFrame, batch_id: int) -> None:
+            batch = batch.persist()
+            try:
+                good, bad = typed_log_records(batch, record_kind, delim, "permissive", keep=keep)
+                keyed_log.write_batch(good, batch_id, sink_path)
+                keyed_log.write_batch(bad, batch_id, bad_path)
+            finally:
+                batch.unpersist()
+
+        w = lines.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+        return w.trigger(**(trigger or {"processingTime": POLL})).start()
     if record_kind:
         good, _bad = typed_log_records(lines, record_kind, delim, "permissive",
                                        keep=["filename", "file_path", "archive_date"])
