@@ -43,8 +43,8 @@ def ingest_logs(
     named fields first (lines with another field count are dropped from the
     typed output, or kept under ``bad_path`` with the reason when it is
     given: then each micro-batch writes its typed rows under ``sink_path``
-    and its rejects under ``bad_path`` as partition ``batch_id=N``, so a
-    replay rewrites the same partitions)."""
+    and its rejects under ``bad_path`` as parquet partition ``batch_id=N``,
+    so a replay rewrites the same partitions)."""
     lines = spool_stream(spark, spool_dir, archive_dir, max_files)
     if record_kind and bad_path:
         if sink_fmt == "kafka":
