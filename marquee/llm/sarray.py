@@ -260,6 +260,15 @@ def _cutter():
     return one
 
 
+def valid_text():
+    """A column function: bytes -> text, without characters that lost a byte."""
+    @F.pandas_udf("string")
+    def one(raw: pd.Series) -> pd.Series:
+        return raw.map(lambda b: b.decode("utf-8", "ignore") if b is not None else None)
+
+    return one
+
+
 def remove_repeats(docs: DataFrame, out: str, scratch: Scratch, text: str = "text", batches: int = 4) -> DataFrame:
     """``docs`` with a struct column ``out``: n_bytes, n_removed, spans (removed
     [first, last) byte runs) and kept (the remaining bytes).

@@ -298,13 +298,12 @@ def q_op1(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = s.path("archives")
         dup = s.keep(repeated_payloads(pages, "page_id", "html"), "repeats")
         write_warc(pages, path, repeats=dup)
-        ident = lambda c: F.regexp_extract(c, r"^<urn:page:(.*)>$", 1)
+        page = lambda c: F.regexp_extract(c, r"^<urn:page:(.*)>$", 1).try_cast("bigint")
         rec = read_warc(spark, path, s)
         out = rec.select(
-            F.expr("try_cast(regexp_extract(record_id, '^<urn:page:(.*)>$', 1) as bigint)").alias("page_id"),
+            page("record_id").alias("page_id"),
             "payload_bytes", "record_type",
             F.when(F.col("record_type") == "revisit", F.col("digest_claimed"))
             .otherwise(F.coalesce("digest_read", "digest_claimed")).alias("payload_digest"),
-            F.when(F.col("record_type") == "revisit", ident("refers_to").try_cast("bigint")).alias("refers_to"),
-            ((F.col("record_type") == "revisit") | (F.col("digest_claimed") == F.col("digest_read"))).alias("digest_ok"))
+            F.when(F.col("record_type") == "revisit", page("refers_to")).alias("refers_to"))
         return s.keep(out, result=True)
