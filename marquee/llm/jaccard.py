@@ -22,8 +22,11 @@ bit-parity sketch (again a lower bound of the symmetric difference), and then
 exactly on their shingles.
 
 *No group is expanded.* Equal sets are one class from the start. The members
-of a group are first linked in a chain; what is in one component after that
-needs no further comparison, so only pairs between components are looked at.
+of a group are first linked in a chain, those of a hot group also with the
+member that is in most hot groups; what is in one component after that needs
+no further comparison. What is still apart in a hot group is compared by bit
+sketches inside the tasks, in blocks of rows, and only pairs that the sketches
+cannot rule out are ever emitted.
 """
 
 from __future__ import annotations
@@ -43,7 +46,9 @@ from marquee.llm.sarray import numbered
 from marquee.llm.shingles import exact_shingles, mix, shingles
 
 #: Groups of more members are hot.
-HOT = 32
+HOT = 8
+#: Rows of a hot group's side that one task compares at a time.
+BLOCK = 2048
 
 
 def difference(n: int, num: int, den: int) -> int:
@@ -57,8 +62,8 @@ def layout(band: int, num: int, den: int) -> int:
 
 
 def bit_sketch(h: np.ndarray) -> bytes:
-    """Parity of tokens by bit; as many bits as the band's largest size."""
-    bits = max(64, 1 << int(len(h)).bit_length())
+    """Parity of tokens by bit; twice as many bits as the band's largest size."""
+    bits = max(64, 2 << int(len(h)).bit_length())
     odd = np.bincount((h & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
@@ -66,11 +71,7 @@ def bit_sketch(h: np.ndarray) -> bytes:
 def hamming(a: bytes, b: bytes) -> int:
     """Distance of two bit sketches; the longer is folded, which keeps parity."""
     x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
-    while len(x) > len(y):
-        x = x[:len(x) // 2] ^ x[len(x) // 2:]
-    while len(y) > len(x):
-        y = y[:len(y) // 2] ^ y[len(y) // 2:]
-    return int(np.bitwise_count(x ^ y).sum())
+    return int(np.bitwise_count(_fold(x, len(y)) ^ _fold(y, len(x))).sum())
 
 
 def part_keys(h: np.ndarray, num: int, den: int) -> Iterator[tuple[int, int, np.ndarray]]:
@@ -240,6 +241,45 @@ def _cross(members):
         lambda b: F.struct(a["row"].alias("u"), b["row"].alias("v")))))
 
 
+def _compare(num: int, den: int):
+    """Pairs of one block of short rows and one of any rows that may link by their sketches."""
+    def compare(key, pdf: pd.DataFrame) -> pd.DataFrame:
+        # sketches of a band or its neighbour; folded to the shortest
+        raw = [np.frombuffer(b, np.uint8) for b in pdf["sketch"]]
+        size = min(map(len, raw))
+        flat = np.stack([_fold(b, size) for b in raw])
+        n, row, comp = (pdf[c].to_numpy() for c in ("n", "row", "component"))
+        x, y = np.flatnonzero(pdf["side"] == 0), np.flatnonzero(pdf["side"] == 1)
+        u, v = [], []
+        for i in x.tolist():
+            d = np.bitwise_count(flat[y] ^ flat[i]).sum(axis=1, dtype=np.int64)
+            ok = y[(comp[y] != comp[i]) & (d * (den + num) <= (den - num) * (n[y] + n[i]))]
+            u.append(np.minimum(row[ok], row[i]))
+            v.append(np.maximum(row[ok], row[i]))
+        return pd.DataFrame({"u": np.concatenate(u) if u else [], "v": np.concatenate(v) if v else []}, dtype="int64")
+
+    return compare
+
+
+def _fold(x: np.ndarray, size: int) -> np.ndarray:
+    while len(x) > size:
+        x = x[:len(x) // 2] ^ x[len(x) // 2:]
+    return x
+
+
+def _apart(named: DataFrame, mixed: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """(u, v) of hot groups in different components, one of them short: the
+    rows of a group meet block by block, each block pair in a task of its own."""
+    r = named.join(mixed, "key").join(sets.select("row", "n", "sketch"), "row")
+    blocks = lambda c: F.ceil(F.col(c) / F.lit(BLOCK)).cast("int")
+    own = lambda c: F.pmod(F.xxhash64("row"), blocks(c)).cast("int")
+    every = lambda c: F.explode(F.sequence(F.lit(0), blocks(c) - 1))
+    cols = ["key", "i", "j", "side", "row", "component", "n", "sketch"]
+    x = r.where("short").withColumn("i", own("x")).withColumn("j", every("y")).withColumn("side", F.lit(0)).select(cols)
+    y = r.withColumn("j", own("y")).withColumn("i", every("x")).withColumn("side", F.lit(1)).select(cols)
+    return x.unionByName(y).groupBy("key", "i", "j").applyInPandas(_compare(num, den), "u long, v long")
+
+
 def near_duplicates(docs: DataFrame, scratch: Scratch, doc_id: str = "doc_id", text: str = "text", k: int = 5,
                     num: int = 80, den: int = 100) -> tuple[DataFrame, DataFrame, str]:
     """(stored, result, row): ``docs`` stored with a row number, and for each
@@ -270,7 +310,12 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, doc_id: str = "doc_id", t
     chain = groups.select(F.explode(F.expr(
         "transform(sequence(1, size(members) - 1), i -> struct(members[i - 1] as u, members[i] as v))")).alias("p"))
     hot = found.where("kind = 'pair'").select(F.struct(F.col("members")[0].alias("u"), F.col("members")[1].alias("v")).alias("p"))
-    first = scratch.keep(chain.unionByName(hot).select("p.u", "p.v").distinct(), "pairs")
+    members = found.where("kind = 'member'").select("key", "band", "slack", F.col("members")[0].alias("row"))
+    degree = members.groupBy("row").agg(F.count(F.lit(1)).alias("d"), (-F.col("row")).alias("r"))
+    hub = members.join(degree, "row").groupBy("key").agg((-F.max(F.struct("d", "r"))["r"]).alias("hub"))
+    spokes = members.join(hub, "key").where("row <> hub").select(
+        F.struct(F.least("row", "hub").alias("u"), F.greatest("row", "hub").alias("v")).alias("p"))
+    first = scratch.keep(chain.unionByName(hot).unionByName(spokes).select("p.u", "p.v").distinct(), "pairs")
     join = _Join(stored, row, text, sets, k, num, den, scratch)
     links = join.links(first)
     label = scratch.keep(components(links, scratch), "labels")
@@ -282,15 +327,12 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, doc_id: str = "doc_id", t
     open_groups = of(big.select("g", F.explode("members").alias("row"))).groupBy("g").agg(
         F.collect_list(F.struct("row", "component")).alias("m"))
     rest = open_groups.select(F.explode(_cross(F.col("m"))).alias("p")).select("p.u", "p.v")
-    members = found.where("kind = 'member'").select("key", "band", "slack", F.col("members")[0].alias("row"))
-    short = members.groupBy("row", "band").agg(F.count(F.lit(1)).alias("n"), F.first("slack").alias("s")).where("n > s")
-    named = scratch.keep(of(members.select("key", "band", "row")), "hot")
-    mixed = named.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b")
-    named = named.join(mixed.select("key"), "key", "left_semi")
-    x = named.join(short.select("row", "band"), ["row", "band"], "left_semi").alias("x")
-    y = named.alias("y")
-    across = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.component") != F.col("y.component")))
-    rest = rest.unionByName(across.select(F.least("x.row", "y.row").alias("u"), F.greatest("x.row", "y.row").alias("v")))
+    short = members.groupBy("row", "band").agg(F.count(F.lit(1)).alias("m"), F.first("slack").alias("s")).where("m > s")
+    named = scratch.keep(of(members.select("key", "band", "row")).join(
+        short.select("row", "band", F.lit(True).alias("short")), ["row", "band"], "left"), "hot")
+    mixed = named.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.count("short").alias("x"),
+                                     F.count(F.lit(1)).alias("y")).where("a <> b and x > 0").select("key", "x", "y")
+    rest = rest.unionByName(_apart(named, mixed, sets, num, den))
     rest = scratch.keep(rest.distinct().join(first, ["u", "v"], "left_anti"), "pairs")
     more = join.links(rest)
     label = scratch.keep(components(links.unionByName(more), scratch), "labels")
