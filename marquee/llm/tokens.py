@@ -106,23 +106,45 @@ class Dac:
 
 # ---------------------------------------------------------------- tokenizing
 
+#: Letters that every Unicode version knows, the marks that often follow a word, and one line end.
+_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+_PLAIN = re.compile(f"([{_LETTERS}]+)([.,;:!?]*)(?:(\n)([{_LETTERS}].*))?", re.DOTALL)
+
+
 class _Words(dict):
     """Ids (as bytes) of space-separated units, each asked of the library once.
 
     A position between a visible character and a space is always a boundary of
-    the tokenizer's pre-tokens, so units are encoded on their own. At ``limit``
-    units the table starts anew; that bounds its memory, not the result."""
+    the tokenizer's pre-tokens, so units are encoded on their own; so is one
+    between a letter and a mark, and around a single line end between visible
+    characters, so a word is asked for without the marks after it. At
+    ``limit`` units a new generation begins and the last but one is dropped:
+    that bounds the memory, not the result."""
 
-    def __init__(self, tokenizer, prefix: str, limit: int = 300_000):
+    def __init__(self, encoder, prefix: str, limit: int = 500_000):
         super().__init__()
-        self.tokenizer, self.prefix, self.limit = tokenizer, prefix, limit
-
-    def __missing__(self, word: str) -> bytes:
-        ids = np.array(self.tokenizer.encode(self.prefix + word, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(self) >= self.limit:
-            self.clear()
-        if len(word) <= 64:
-            self[word] = ids
+        self.encoder, self.prefix, self.limit, self.before = encoder, prefix, limit, {}
+
+    def __missing__(self, unit: str) -> bytes:
+        ids = self.before.get(unit)
+        if ids is None:
+            m = _PLAIN.fullmatch(unit)
+            if m is None:
+                ids = self.encoder.ask(self.prefix + unit)
+            else:
+                word, marks, line, rest = m.groups()
+                if not marks and not line:
+                    ids = self.encoder.ask_word(word, self.prefix)
+                else:
+                    plain = self.encoder.plain
+                    ids = self[word] + (plain[marks] if marks else b"")
+                    if line:                # seldom seen again
+                        return ids + plain[line] + plain[rest]
+        if len(unit) <= 64:
+            if len(self) >= self.limit:
+                self.before = dict(self)
+                self.clear()
+            self[unit] = ids
         return ids
 
 
@@ -136,7 +158,25 @@ class Encoder:
 
         t = Tokenizer.from_file(path)
         t.encode_special_tokens = True          # their strings in a text are ordinary text
-        self.spaced, self.plain = _Words(t, " "), _Words(t, "")
+        self.tokenizer, self.model = t, t.model
+        letters = "".join(chr(c) for c in range(0x250)) + " "
+        # how the tokenizer's byte-level step writes a byte, asked of the step itself
+        self.spell = {b: t.pre_tokenizer.pre_tokenize_str(chr(b))[0][0] for b in range(0x21, 0x7F)}
+        self.spell |= {c.encode()[-1]: t.pre_tokenizer.pre_tokenize_str(c)[0][0][-1] for c in letters if len(c.encode()) == 2}
+        self.spell |= {c.encode()[0]: t.pre_tokenizer.pre_tokenize_str(c)[0][0][0] for c in letters if len(c.encode()) == 2}
+        self.spell[32] = t.pre_tokenizer.pre_tokenize_str(" a")[0][0][0]
+        self.packed = [struct.pack("<I", i) for i in range(t.get_vocab_size())]
+        self.spaced, self.plain = _Words(self, " "), _Words(self, "")
+
+    def ask(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def ask_word(self, word: str, prefix: str) -> bytes:
+        """A run of letters (with its space) is one pre-token: only the merges are asked for."""
+        spelt = (self.spell[32] if prefix else "") + (
+            word if word.isascii() else word.encode().decode("latin-1").translate(self.spell))
+        packed = self.packed
+        return b"".join([packed[x.id] for x in self.model.tokenize(spelt)])
 
     def __call__(self, text: str) -> bytes:
         """The ids of the whole text, little-endian unsigned 32-bit."""
