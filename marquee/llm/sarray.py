@@ -8,23 +8,24 @@ suffix for each byte:
    gram at the same place, so a repeated window makes a repeated gram. Each
    picked gram (about one in 85 bytes) is one suffix entry: the fingerprint of
    the gram, a fingerprint of all the text that its windows cover, and where.
-2. *Index family.* Documents arrive in batches. A batch's entries, sorted by
-   the gram's fingerprint, are its suffix array; it is merge-scanned (a sort-
-   merge join of tables stored by that order) against each existing level,
-   which gives the grams that occur on both sides, and then becomes a level
-   itself. Levels of equal size are merged before the next batch, so sizes
-   grow geometrically and a batch meets a logarithm of levels.
-3. *Refinement.* A repeated gram whose windows' text is the same everywhere
-   settles all its windows. Where the texts differ, its windows are split into
-   runs of 16, indexed in the same way by the bytes that a run's windows share,
-   and where those still differ into single windows.
-
-An index row stands for all entries of one gram in its batch (their number,
-least and greatest text fingerprint), so partial aggregation shrinks a passage
-that a third of all documents share to one row a task, and no task ever holds
-a group. Suffixes are ordered by fingerprint, not by alphabet: only equality
-matters here. Grams and texts have 64-bit fingerprints each, and both must
-agree; single windows have 128 bits.
+2. *Index family.* Documents arrive in batches. A batch's distinct entries
+   (gram and text), sorted by fingerprint, are its suffix array; it is
+   merge-scanned (a sort-merge join of tables stored by that order) against
+   each existing level, which gives the entries that occur on both sides, and
+   then becomes a level itself. Levels of equal size are merged before the next
+   batch, so sizes grow geometrically and a batch meets a logarithm of levels.
+3. *Refinement.* An entry that occurs twice settles all its windows. One that
+   occurs once, but whose gram has other texts, is split into runs of 16
+   windows, and so is one row of each repeated entry of that gram; the runs are
+   indexed in the same way by the bytes that a run's windows share. What is
+   still open then is split into single windows.
+
+An index row stands for all occurrences of one entry in its batch, so partial
+aggregation shrinks a passage that a third of all documents share to one row a
+task, and levels are stored by the text's fingerprint, which no frequent gram
+makes uneven. Suffixes are ordered by fingerprint, not by alphabet: only
+equality matters here. Grams and texts have 64-bit fingerprints each, and both
+must agree; single windows have 128 bits.
 """
 
 from __future__ import annotations
@@ -139,7 +140,7 @@ def _windows(raw: bytes, todo) -> Iterator[tuple]:
     for at, lo, hi in todo:
         for p in range(lo, hi + 1):
             k = xxhash.xxh3_128_intdigest(raw[p:p + LENGTH])
-            yield at, p, p, k >> 64, k & 0xFFFFFFFFFFFFFFFF, 0
+            yield at, p, p, k >> 64, k & 0xFFFFFFFFFFFFFFFF, k & 0xFFFFFFFFFFFFFFFF
 
 
 def _refined(it: Iterator[pa.RecordBatch], split, batches: int) -> Iterator[pa.RecordBatch]:
@@ -152,26 +153,26 @@ def _refined(it: Iterator[pa.RecordBatch], split, batches: int) -> Iterator[pa.R
                          _signed(k1), _signed(k2), _signed(f))
 
 
+KEY = ["k1", "k2", "f"]
+
+
 class IndexFamily:
-    """Levels of (k1, k2, n, f_min, f_max), each a table stored by k1."""
+    """Levels of (k1, k2, f, n, r), each a table stored by f; r is the first row."""
 
     def __init__(self, scratch: Scratch):
         self.scratch = scratch
         self.levels: list[tuple[int, DataFrame]] = []        # (batches it holds, table), largest first
 
     def add(self, entries: DataFrame) -> DataFrame:
-        """Indexes a batch; gives (k1, k2, f_min, f_max) of keys that occur
-        twice in it, or in it and in a level."""
+        """Indexes a batch; gives (k1, k2, f, r) of entries that occur twice in
+        it, or in it and in a level."""
         self._merge()
-        own = self.scratch.bucketed(entries.groupBy("k1", "k2").agg(
-            F.count(F.lit(1)).alias("n"), F.min("f").alias("f_min"), F.max("f").alias("f_max"))
-            .repartition(shuffle_partitions(self.scratch.spark), "k1"), "k1")
-        found = own.where("n > 1").select("k1", "k2", "f_min", "f_max")
+        own = self.scratch.bucketed(entries.groupBy(KEY).agg(F.count(F.lit(1)).alias("n"), F.min("row").alias("r"))
+                                    .repartition(shuffle_partitions(self.scratch.spark), "f"), "f")
+        found = own.where("n > 1").select(*KEY, "r")
         for _, level in self.levels:
-            x, y = own.alias("x"), level.alias("y")
-            both = x.join(y, (F.col("x.k1") == F.col("y.k1")) & (F.col("x.k2") == F.col("y.k2")))
-            found = found.unionByName(both.select("x.k1", "x.k2", F.least("x.f_min", "y.f_min").alias("f_min"),
-                                                  F.greatest("x.f_max", "y.f_max").alias("f_max")))
+            both = own.join(level.select(*KEY, F.col("r").alias("q")), KEY)
+            found = found.unionByName(both.select(*KEY, F.least("r", "q").alias("r")))
         found = self.scratch.keep(found, "found")
         self.levels.append((1, own))
         return found
@@ -180,26 +181,46 @@ class IndexFamily:
         """Equal-sized levels become one of twice the size."""
         while len(self.levels) > 1 and self.levels[-1][0] == self.levels[-2][0]:
             (n, a), (_, b) = self.levels.pop(), self.levels.pop()
-            x, y = a.alias("x"), b.alias("y")
-            one = x.join(y, (F.col("x.k1") == F.col("y.k1")) & (F.col("x.k2") == F.col("y.k2")), "full").select(
-                F.coalesce("x.k1", "y.k1").alias("k1"), F.coalesce("x.k2", "y.k2").alias("k2"),
-                (F.coalesce("x.n", F.lit(0)) + F.coalesce("y.n", F.lit(0))).alias("n"),
-                F.least("x.f_min", "y.f_min").alias("f_min"), F.greatest("x.f_max", "y.f_max").alias("f_max"))
-            merged = self.scratch.bucketed(one, "k1")
+            one = a.join(b.select(*KEY, F.col("n").alias("m"), F.col("r").alias("q")), KEY, "full").select(
+                *KEY, (F.coalesce("n", F.lit(0)) + F.coalesce("m", F.lit(0))).alias("n"), F.least("r", "q").alias("r"))
+            merged = self.scratch.bucketed(one, "f")
             self.scratch.drop(a)
             self.scratch.drop(b)
             self.levels.append((2 * n, merged))
 
+    def several(self) -> DataFrame:
+        """(k1, k2) of grams that have more than one text."""
+        union = None
+        for _, level in self.levels:
+            keys = level.select(*KEY)
+            union = keys if union is None else union.unionByName(keys)
+        return union.groupBy("k1", "k2").agg(F.min("f").alias("a"), F.max("f").alias("b")).where("a <> b").select("k1", "k2")
+
 
-def repeated(entries: DataFrame, scratch: Scratch, batches: int) -> DataFrame:
-    """The entries whose key occurs again anywhere, with ``same``: whether the
-    text of all entries with that key is the same."""
+def repeated(entries: DataFrame, scratch: Scratch, batches: int, last: bool) -> DataFrame:
+    """(row, at, lo, hi, done, todo): entries that occur twice are done; those
+    whose gram has other texts too are to be split, of repeated ones one row."""
     family, found = IndexFamily(scratch), None
     for k in range(batches):
         new = family.add(entries.where(F.col("batch") == k))
         found = new if found is None else found.unionByName(new)
-    keys = found.groupBy("k1", "k2").agg((F.min("f_min") == F.max("f_max")).alias("same"))
-    out = scratch.keep(entries.join(keys, ["k1", "k2"]).select("row", "at", "lo", "hi", "same"), "repeated")
+    twice = found.groupBy(KEY).agg(F.min("r").alias("r"))
+    if last:
+        out = entries.join(twice, KEY).select("row", "at", "lo", "hi", F.lit(True).alias("done"), F.lit(False).alias("todo"))
+    else:
+        twice = scratch.keep(twice, "twice")
+        open_keys = scratch.keep(family.several(), "several")
+        # entries that matter: all of a gram with several texts, and the repeated ones
+        marked = entries.join(open_keys.withColumn("open", F.lit(True)), ["k1", "k2"], "left")
+        marked = marked.join(twice, KEY, "left").where("open or r is not null")
+        marked = scratch.keep(marked.select("row", "at", "lo", "hi", "k1", "k2", F.col("r").isNotNull().alias("done"),
+                                            (F.coalesce("open", F.lit(False)) & (F.col("r").isNull() | (F.col("r") == F.col("row"))))
+                                            .alias("todo")), "marked")
+        # repeated entries are only split where some entry of the gram is still open
+        single = marked.where("todo and not done").select("k1", "k2").distinct().withColumn("single", F.lit(True))
+        out = marked.join(single, ["k1", "k2"], "left").select(
+            "row", "at", "lo", "hi", "done", (F.col("todo") & F.coalesce("single", F.lit(False))).alias("todo"))
+    out = scratch.keep(out, "repeated")
     for _, level in family.levels:
         scratch.drop(level)
     return out
@@ -219,14 +240,14 @@ def repeated_spans(stored: DataFrame, row: str, text: str, scratch: Scratch, bat
     entries = scratch.keep(stored.select(F.col(row), F.col(text)).mapInArrow(lambda it: _suffixes(it, batches), ENTRY),
                            "entries")
     for split in (_runs, _windows, None):
-        hit = repeated(entries, scratch, batches)
+        hit = repeated(entries, scratch, batches, split is None)
         scratch.drop(entries)
-        done = hit.where("same").select("row", "lo", "hi")
+        done = hit.where("done").select("row", "lo", "hi")
         spans = done if spans is None else spans.unionByName(done)
         if split is None:
             return spans
-        todo = hit.where("not same").groupBy("row").agg(F.collect_list(F.struct("at", "lo", "hi")).alias("todo"))
-        more = stored.select(F.col(row).alias("row"), F.col(text).alias("t")).join(todo.hint("shuffle_hash"), "row")
+        todo = hit.where("todo").groupBy("row").agg(F.collect_list(F.struct("at", "lo", "hi")).alias("todo"))
+        more = stored.select(F.col(row).alias("row"), F.col(text).alias("t")).join(todo, "row")
         entries = scratch.keep(more.select("row", "t", "todo").mapInArrow(
             lambda it, split=split: _refined(it, split, batches), ENTRY), "entries")
 
@@ -282,7 +303,7 @@ def remove_repeats(docs: DataFrame, out: str, scratch: Scratch, text: str = "tex
     stored, row = numbered(docs, scratch)
     spans = repeated_spans(stored, row, text, scratch, batches)
     lists = spans.groupBy(F.col("row").alias(row)).agg(F.collect_list(F.struct("lo", "hi")).alias(f"{row}_starts"))
-    joined = stored.join(lists.hint("shuffle_hash"), row, "left")
+    joined = stored.join(lists, row, "left")
     return joined.withColumn(out, _cutter()(F.col(text), F.col(f"{row}_starts"))).drop(row, f"{row}_starts")
 
 
