@@ -73,14 +73,15 @@ class Scratch:
         self.tidy()
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def bucketed(self, df: DataFrame, key: str) -> DataFrame:
-        """``df`` stored by hash of ``key`` in as many buckets as a shuffle has
-        partitions: later joins on ``key`` move only the other side. Dropped
-        with its files at the end of the block."""
+    def bucketed(self, df: DataFrame, *keys: str) -> DataFrame:
+        """``df`` stored by hash of the keys in as many buckets as a shuffle has
+        partitions: later joins on them move only the other side. Pass rows
+        that are already dealt by these keys, in this order. Dropped with its
+        files at the end of the block."""
         name = f"marquee_llm_{uuid.uuid4().hex[:12]}"
         self.tables.append(name)
         (df.write.format("parquet").option("compression", "zstd").option("path", self.path(name))
-         .bucketBy(shuffle_partitions(self.spark), key).saveAsTable(name))
+         .bucketBy(shuffle_partitions(self.spark), *keys).saveAsTable(name))
         self.tidy()
         return self.spark.table(name)
 

@@ -22,8 +22,8 @@ suffix for each byte:
 
 An index row stands for all occurrences of one entry in its batch, so partial
 aggregation shrinks a passage that a third of all documents share to one row a
-task, and levels are stored by the text's fingerprint, which no frequent gram
-makes uneven. Suffixes are ordered by fingerprint, not by alphabet: only
+task, and levels are stored by gram and text, which no frequent gram makes
+uneven. Suffixes are ordered by fingerprint, not by alphabet: only
 equality matters here. Grams and texts have 64-bit fingerprints each, and both
 must agree; single windows have 128 bits.
 """
@@ -157,7 +157,7 @@ KEY = ["k1", "k2", "f"]
 
 
 class IndexFamily:
-    """Levels of (k1, k2, f, n, r), each a table stored by f; r is the first row."""
+    """Levels of (k1, k2, f, n, r), each a table stored by its key; r is the first row."""
 
     def __init__(self, scratch: Scratch):
         self.scratch = scratch
@@ -167,8 +167,7 @@ class IndexFamily:
         """Indexes a batch; gives (k1, k2, f, r) of entries that occur twice in
         it, or in it and in a level."""
         self._merge()
-        own = self.scratch.bucketed(entries.groupBy(KEY).agg(F.count(F.lit(1)).alias("n"), F.min("row").alias("r"))
-                                    .repartition(shuffle_partitions(self.scratch.spark), "f"), "f")
+        own = self.scratch.bucketed(entries.groupBy(KEY).agg(F.count(F.lit(1)).alias("n"), F.min("row").alias("r")), *KEY)
         found = own.where("n > 1").select(*KEY, "r")
         for _, level in self.levels:
             both = own.join(level.select(*KEY, F.col("r").alias("q")), KEY)
@@ -183,7 +182,7 @@ class IndexFamily:
             (n, a), (_, b) = self.levels.pop(), self.levels.pop()
             one = a.join(b.select(*KEY, F.col("n").alias("m"), F.col("r").alias("q")), KEY, "full").select(
                 *KEY, (F.coalesce("n", F.lit(0)) + F.coalesce("m", F.lit(0))).alias("n"), F.least("r", "q").alias("r"))
-            merged = self.scratch.bucketed(one, "f")
+            merged = self.scratch.bucketed(one, *KEY)
             self.scratch.drop(a)
             self.scratch.drop(b)
             self.levels.append((2 * n, merged))
@@ -236,11 +235,11 @@ def numbered(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, str]:
 
 def repeated_spans(stored: DataFrame, row: str, text: str, scratch: Scratch, batches: int) -> DataFrame:
     """(row, lo, hi): runs of starts of windows that occur again anywhere."""
-    spans = None
+    spans, parts = None, batches
     entries = scratch.keep(stored.select(F.col(row), F.col(text)).mapInArrow(lambda it: _suffixes(it, batches), ENTRY),
                            "entries")
     for split in (_runs, _windows, None):
-        hit = repeated(entries, scratch, batches, split is None)
+        hit = repeated(entries, scratch, parts, split is None)
         scratch.drop(entries)
         done = hit.where("done").select("row", "lo", "hi")
         spans = done if spans is None else spans.unionByName(done)
@@ -249,7 +248,8 @@ def repeated_spans(stored: DataFrame, row: str, text: str, scratch: Scratch, bat
         todo = hit.where("todo").groupBy("row").agg(F.collect_list(F.struct("at", "lo", "hi")).alias("todo"))
         more = stored.select(F.col(row).alias("row"), F.col(text).alias("t")).join(todo, "row")
         entries = scratch.keep(more.select("row", "t", "todo").mapInArrow(
-            lambda it, split=split: _refined(it, split, batches), ENTRY), "entries")
+            lambda it, split=split: _refined(it, split, 1), ENTRY), "entries")
+        parts = 1                   # what is split comes from all batches at once
 
 
 def cut(raw: bytes, starts: list[tuple[int, int]]) -> tuple[bytes, list[tuple[int, int]]]:
