@@ -60,26 +60,16 @@ def movie_search_docs(movies: DataFrame, tags: DataFrame) -> DataFrame:
     return movies.join(tags_by_movie(tags), on="mid", how="left")
 
 
-MAX_GENRE_SEED = 10_000
-
-
-def _genre_list(genres) -> list[str]:
-    """A genre seed given as a relation is read once after a size check
-    (it is a small parameter table, never data that grows)."""
-    if isinstance(genres, DataFrame):
-        n = genres.count()
-        if n > MAX_GENRE_SEED:
-            raise ValueError(f"genre seed has {n} rows, more than {MAX_GENRE_SEED}")
-        return [r[0] for r in genres.select(genres.columns[0]).distinct().collect() if r[0] is not None]
-    return list(genres)
-
-
 def genre_match(movies: DataFrame, genres: Sequence[str] | DataFrame = DEFAULT_GENRES) -> DataFrame:
     """(genre, movie) for every genre contained, case-insensitively, in the
-    movie's genres text. The genre list is a bounded parameter, so the
-    theta join is a per-row filter over a literal array plus an explode:
-    no join, no shuffle, linear in the movies."""
-    seed = F.array(*[F.lit(g) for g in _genre_list(genres)])
+    movie's genres text; nulls match nothing, repeated genres count once. A
+    list is a parameter: the theta join is a per-row filter over a literal
+    array plus an explode, with no join and no shuffle. A relation (its first
+    column), of any size, is joined on the same predicate."""
+    if isinstance(genres, DataFrame):
+        seed = genres.select(F.col(genres.columns[0]).alias("genre")).where("genre is not null").distinct()
+        return seed.join(movies, genre_matches("genres", "genre"))
+    seed = F.array(*[F.lit(g) for g in dict.fromkeys(g for g in genres if g is not None)])
     # explode + filter (both in whole-stage codegen; a lambda would not be)
     pairs = movies.select(F.explode(seed).alias("genre"), "*")
     return pairs.where(genre_matches("genres", "genre"))

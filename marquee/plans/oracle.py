@@ -32,7 +32,7 @@ CTE = {
 dots AS (
   SELECT a.mid AS mid, b.mid AS other_mid, sum(a.f * b.f) AS d
   FROM feat a JOIN feat b ON a.k = b.k AND a.mid <> b.mid GROUP BY ALL),
-sims AS (
+sims AS MATERIALIZED (
   SELECT d.mid, d.other_mid, d.d / (x.nr * y.nr) AS sim
   FROM dots d JOIN nrm x ON d.mid = x.mid JOIN nrm y ON d.other_mid = y.mid
   WHERE x.nr > 0 AND y.nr > 0 AND d.d / (x.nr * y.nr) > 0.6)""",
@@ -46,12 +46,12 @@ sims AS (
     "trig": """trig AS (
   SELECT uid, mid FROM log
   QUALIFY row_number() OVER (PARTITION BY uid ORDER BY ts DESC, event_id DESC, mid DESC) = 1)""",
-    "rec": """rec AS (
+    "rec": """rec AS MATERIALIZED (
   SELECT uid, CAST(row_number() OVER (PARTITION BY uid ORDER BY ts DESC, event_id DESC, mid DESC) AS INTEGER) AS pos,
          mid, score
   FROM log QUALIFY pos <= 11)""",
     "hist": """hist AS (SELECT DISTINCT uid, mid FROM log)""",
-    "cand": """cand AS (
+    "cand": """cand AS MATERIALIZED (
   SELECT t.uid, s.other_mid AS mid, s.sim,
          CAST(row_number() OVER (PARTITION BY t.uid ORDER BY s.sim DESC, s.other_mid ASC) AS INTEGER) AS rank
   FROM trig t JOIN sims s ON s.mid = t.mid

@@ -61,6 +61,9 @@ def scratch_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("name a folder that driver and executors share in spark.checkpoint.dir")
         root = tempfile.mkdtemp(prefix="marquee-ckpt-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -69,12 +72,9 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh, unique sub-folder of the shared scratch root."""
-    root = scratch_root(spark)
-    path = os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}")
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.removeprefix("file:"), exist_ok=True)
-    return path
+    """The path of a fresh, unique sub-folder of the shared scratch root;
+    whoever writes there first creates it."""
+    return os.path.join(scratch_root(spark), f"{name}-{uuid.uuid4().hex[:12]}")
 
 
 _shipped: set[str] = set()
@@ -96,13 +96,8 @@ def ship_package(spark: SparkSession) -> None:
             return
         pkg = os.path.dirname(os.path.abspath(__file__))
         root = os.path.dirname(pkg)
-        shared = scratch_root(spark)
-        if "://" in shared and not shared.startswith("file:"):
-            # zipfile cannot write to a remote store; the driver serves the
-            # archive to the executors from here
-            folder = tempfile.mkdtemp(prefix="marquee-pyfiles-")
-        else:
-            folder = scratch_dir(spark, "pyfiles").removeprefix("file:")
+        # on the driver's own disk: Spark serves the archive to the executors
+        folder = tempfile.mkdtemp(prefix="marquee-pyfiles-")
         archive = os.path.join(folder, "marquee.zip")
         with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
             for dirpath, _dirs, files in os.walk(pkg):

@@ -32,10 +32,9 @@ def _line_orders(spark: SparkSession, sf_dir: str, line_cols, order_cols) -> Dat
     li = table(spark, sf_dir, "lineitem").select(*line_cols)
     od = table(spark, sf_dir, "orders").select(*order_cols)
     # Both sides grow with the data (orders is a quarter of lineitem), so
-    # this is a sort-merge join on the order key at any scale: broadcasting
-    # orders would not hold, and the shuffle also spreads the per-row work
-    # that follows. (Tables bucketed by order key would skip the exchange.)
-    return li.join(od.hint("merge"), li.l_orderkey == od.o_orderkey)
+    # nothing is broadcast by a hint: Spark and AQE choose the join from
+    # the measured sizes.
+    return li.join(od, li.l_orderkey == od.o_orderkey)
 
 
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -40,11 +40,13 @@ def ingest_logs(
     ``topic`` (typed fields are not sent, only the line); any file format
     appends rows to ``sink_path``. With
     ``record_kind`` ('wechat' or 'mail') lines are split into the kind's
-    named fields first (lines with another field count are dropped from the
-    typed output, or kept under ``bad_path`` with the reason when it is
-    given: then each micro-batch writes its typed rows under ``sink_path``
-    and its rejects under ``bad_path`` as parquet partition ``batch_id=N``,
-    so a replay rewrites the same partitions)."""
+    named fields first: each micro-batch writes its typed rows under
+    ``sink_path`` and the lines with another field count, with the reason,
+    under ``bad_path`` (by default ``sink_path`` + ``.rejected``), both as
+    parquet partition ``batch_id=N``, so a replay rewrites the same
+    partitions and good and rejected rows add up to the lines read."""
+    if record_kind and not bad_path and sink_fmt != "kafka":
+        bad_path = sink_path.rstrip("/") + ".rejected"
     lines = spool_stream(spark, spool_dir, archive_dir, max_files)
     if record_kind and bad_path:
         if sink_fmt == "kafka":
@@ -62,16 +64,10 @@ def ingest_logs(
 
         w = lines.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
         return w.trigger(**(trigger or {"processingTime": POLL})).start()
-    if record_kind:
-        good, _bad = typed_log_records(lines, record_kind, delim, "permissive",
-                                       keep=["filename", "file_path", "archive_date"])
-        out: DataFrame = good
-    else:
-        out = lines
     if sink_fmt == "kafka":
         w = (lines.selectExpr("CAST(value AS STRING) AS value").writeStream
              .format("kafka").option("topic", topic))
     else:
-        w = out.writeStream.format(sink_fmt).option("path", sink_path).outputMode("append")
+        w = lines.writeStream.format(sink_fmt).option("path", sink_path).outputMode("append")
     w = w.option("checkpointLocation", checkpoint).options(**(sink_options or {}))
     return w.trigger(**(trigger or {"processingTime": POLL})).start()

@@ -79,3 +79,14 @@ def test_genre_seed_relation_and_preview(spark):
     got = sorted((r.genre, r.mid) for r in stats.genre_match(m, genre_seed(spark, ["Drama", "Comedy"])).collect())
     assert got == [("Comedy", 2), ("Drama", 1)]
     assert stats.preview(m, 1).count() == 1
+
+
+def test_genre_relation_is_joined_like_the_list(spark):
+    from marquee.operators import stats
+    from marquee.sources import fixtures as fx
+
+    movies = fx.movies(spark, "/root/testdata/sf0.001")
+    names = ["ECONOMY", "promo", None, "promo"]
+    a = stats.genre_match(movies, names).select("genre", "mid")
+    b = stats.genre_match(movies, spark.createDataFrame([(g,) for g in names], "g string")).select("genre", "mid")
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect())) and a.count() > 0
