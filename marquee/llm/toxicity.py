@@ -59,10 +59,10 @@ def fit(rows: list[np.ndarray], y: np.ndarray, bins: int = BINS, min_docs: int =
     bias0 = float(np.log(prior / (1 - prior)))
     if not len(y) or y.min() == y.max():
         return Model(np.zeros(bins), bias0)
-    at = np.concatenate([np.full(len(r), i) for i, r in enumerate(rows)])
-    col = np.concatenate(rows).astype(np.int64)
-    df = np.bincount(col, minlength=bins)
-    pos = np.bincount(col, weights=y[at], minlength=bins)
+    df, pos = np.zeros(bins, np.int64), np.zeros(bins)
+    for r, t in zip(rows, y):                   # a row's bins are distinct
+        df[r] += 1
+        pos[r] += t
     n1, n0 = y.sum(), (1 - y).sum()
     p, q = (pos + alpha) / (n1 + 2 * alpha), (df - pos + alpha) / (n0 + 2 * alpha)
     ratio = np.log(p / q)
@@ -73,8 +73,9 @@ def fit(rows: list[np.ndarray], y: np.ndarray, bins: int = BINS, min_docs: int =
         return Model(np.zeros(bins), bias0)
     new = np.full(bins, -1)
     new[use] = np.arange(len(use))
-    keep = new[col] >= 0
-    at, col = at[keep], new[col[keep]]
+    kept = [c[c >= 0] for c in (new[r] for r in rows)]
+    at = np.repeat(np.arange(len(kept)), [len(c) for c in kept])
+    col = np.concatenate(kept)
     r = ratio[use]
     w, b = np.zeros(len(use)), bias0
     m = np.zeros(len(use) + 1)
@@ -106,7 +107,7 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, usable: Column, lim
         "t is not null").select("t", "y")
 
 
-def train(docs: DataFrame, labels: DataFrame, usable: Column, label: str = "toxic", limit: int = 20_000,
+def train(docs: DataFrame, labels: DataFrame, usable: Column, label: str = "toxic", limit: int = 10_000,
           bins: int = BINS) -> Model:
     """Fits the classifier on a bounded sample of labelled rows; tasks make the
     features, the driver fits."""
