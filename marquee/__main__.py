@@ -5,6 +5,7 @@
     python -m marquee offline     --ratings DIR/Rating --movies DIR/Movie --out DIR
     python -m marquee realtime    --sims DIR/MovieSims --ratings DIR/Rating --out DIR
                                   --checkpoint CK (--topic recom --bootstrap HOST:PORT | --inbox FOLDER)
+                                  [--inflight FOLDER] [--recents FOLDER]
     python -m marquee ingest      --spool FOLDER --checkpoint CK (--topic T --bootstrap HOST:PORT | --sink DIR
                                   [--kind wechat|mail [--bad DIR]])
 
@@ -50,6 +51,8 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--topic", default="recom")
     s.add_argument("--bootstrap", default=None)
     s.add_argument("--inbox", default=None, help="read rating messages from text files instead of a topic")
+    s.add_argument("--inflight", default=None, help="keep the stream's ratings here as history of later batches")
+    s.add_argument("--recents", default=None, help="recent lists kept by the recent-state job")
     s.add_argument("--once", action="store_true")
 
     s = sub.add_parser("ingest")
@@ -86,7 +89,8 @@ def main(argv: list[str] | None = None) -> int:
             stream = rating_stream(spark, fmt="text", path=args.inbox)
         else:
             stream = rating_stream(spark, topic=args.topic, **{"kafka.bootstrap.servers": args.bootstrap})
-        jobs.realtime(spark, stream, args.sims, args.ratings, args.out, args.checkpoint, trigger=once).awaitTermination()
+        jobs.realtime(spark, stream, args.sims, args.ratings, args.out, args.checkpoint, trigger=once,
+                      inflight_path=args.inflight, recents_path=args.recents).awaitTermination()
     elif args.job == "ingest":
         if args.sink:
             q = jobs.ingest_logs(spark, args.spool, args.checkpoint, sink_fmt="parquet", sink_path=args.sink,

@@ -98,13 +98,11 @@ def q_similar_lists(spark, sf):
 
 
 def _user_profiles(spark, sf) -> DataFrame:
-    """User vector = mean item vector of the items the user rated (per
-    dimension; a partial aggregate, no per-user list is collected)."""
+    """User vector = mean item vector of the items the user rated: one join
+    of whole vectors and one partial aggregate for all dimensions."""
     log = fx.rating_log(spark, sf).select("uid", "mid")
-    feats = fx.item_features(spark, sf).select("mid", F.posexplode("features").alias("k", "f"))
-    per_dim = log.join(feats, "mid").groupBy("uid", "k").agg(F.avg("f").alias("f"))
-    packed = per_dim.groupBy("uid").agg(F.array_sort(F.collect_list(F.struct("k", "f"))).alias("s"))
-    return packed.select("uid", F.transform("s", lambda x: x["f"]).alias("features"))
+    rated = log.join(fx.item_features(spark, sf), "mid")
+    return rated.groupBy("uid").agg(F.array(*[F.avg(F.get("features", F.lit(i))) for i in range(fx.FEATURE_DIMS)]).alias("features"))
 
 
 def q_factor_predict(spark, sf):
@@ -216,9 +214,8 @@ def q_realtime_stream(spark, sf):
                       f"{root}/history", buckets)
     # the similarity relation likewise, bucketed by movie
     srt.write_sims(_sims(spark, sf), f"{root}/sims", buckets)
-    q = srt.run_realtime(stream, spark.read.parquet(f"{root}/sims"), spark.read.parquet(f"{root}/history"),
-                         f"{root}/recs", f"{root}/ckpt", trigger={"availableNow": True},
-                         history_buckets=buckets, sims_buckets=buckets)
+    q = srt.run_realtime(stream, lambda s: srt.read_sims(s, f"{root}/sims"), lambda s: s.read.parquet(f"{root}/history"),
+                         f"{root}/recs", f"{root}/ckpt", trigger={"availableNow": True})
     q.awaitTermination()
     return srt.current_stream_recs(spark, f"{root}/recs")
 

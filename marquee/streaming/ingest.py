@@ -43,7 +43,7 @@ def ingest_logs(
     named fields first: each micro-batch writes its typed rows under
     ``sink_path`` and the lines with another field count, with the reason,
     under ``bad_path`` (by default ``sink_path`` + ``.rejected``), both as
-    parquet partition ``batch_id=N``, so a replay rewrites the same
+    parquet partition ``run=R/batch_id=N``, so a replay rewrites the same
     partitions and good and rejected rows add up to the lines read."""
     if record_kind and not bad_path and sink_fmt != "kafka":
         bad_path = sink_path.rstrip("/") + ".rejected"
@@ -54,11 +54,12 @@ def ingest_logs(
         keep = ["filename", "file_path", "archive_date"]
 
         def handle(batch: DataFrame, batch_id: int) -> None:
+            run = keyed_log.run_number(batch.sparkSession, sink_path, checkpoint)
             batch = batch.persist()
             try:
                 good, bad = typed_log_records(batch, record_kind, delim, "permissive", keep=keep)
-                keyed_log.write_batch(good, batch_id, sink_path)
-                keyed_log.write_batch(bad, batch_id, bad_path)
+                keyed_log.write_batch(good, batch_id, sink_path, run)
+                keyed_log.write_batch(bad, batch_id, bad_path, run)
             finally:
                 batch.unpersist()
 
