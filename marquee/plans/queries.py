@@ -16,13 +16,15 @@ from pyspark.sql import functions as F
 
 from marquee.operators import realtime as rt
 from marquee.operators import stats
-from marquee.operators.factors import predict_pairs, top_n_by_dot, train_als, user_recs
+from marquee.operators.factors import ALS_RANK, item_features, predict_pairs, top_n_by_dot, train_als, user_features, user_recs
 from marquee.operators.similarity import item_similarity, pair_similarity, similar_lists
+from marquee.plans import jobs
 from marquee.plans.oracle import FIXTURE_GENRES, genre_values, with_ctes
-from marquee.schemas import LOG_RECORD_FIELDS
+from marquee.schemas import LOG_RECORD_FIELDS, RATING
 from marquee.session import scratch_dir
 from marquee.sources import fixtures as fx
 from marquee.sources import text
+from marquee.sources.tables import genre_seed, read_table
 from marquee.streaming import realtime as srt
 from marquee.streaming import state as sstate
 from marquee.streaming.ingest import ingest_logs
@@ -194,6 +196,61 @@ def q_typed_log_records(spark, sf):
     return good
 
 
+def q_mail_log_records(spark, sf):
+    good, _bad = text.typed_log_records(fx.log_lines(spark, sf), "mail")
+    return good
+
+
+def q_genre_match_relation(spark, sf):
+    """The genre join with the genres as a relation."""
+    return stats.genre_match(fx.movies(spark, sf), genre_seed(spark, FIXTURE_GENRES)).select("genre", "mid")
+
+
+# ----------------------------------------------------------- composite jobs
+
+def _loaded(spark, sf) -> str:
+    """Output folder of the load job run on text files of the whole tables."""
+    root = scratch_dir(spark, "load")
+    for name, df, delim in (("movies", fx.movies(spark, sf), "^"), ("ratings", fx.ratings(spark, sf), ","),
+                            ("tags", fx.tags(spark, sf), ",")):
+        _lines(df, delim).write.text(f"{root}/{name}")
+    jobs.load(spark, *(f"{root}/{n}" for n in ("movies", "ratings", "tags")), f"{root}/out")
+    return f"{root}/out"
+
+
+def q_load_job_ratings(spark, sf):
+    """Ratings after a round trip through text, the load job and its table."""
+    return read_table(spark, f"{_loaded(spark, sf)}/{jobs.RATING}", RATING)
+
+
+def q_load_job_search_docs(spark, sf):
+    """Search documents as the load job stores them."""
+    docs = spark.read.schema(stats.movie_search_docs(fx.movies(spark, sf), fx.tags(spark, sf)).schema)
+    return docs.json(f"{_loaded(spark, sf)}/search")
+
+
+def _statistics(spark, sf) -> str:
+    root = scratch_dir(spark, "statistics")
+    jobs.statistics(spark, fx.ratings(spark, sf), fx.movies(spark, sf), root, FIXTURE_GENRES)
+    return root
+
+
+def q_statistics_job_months(spark, sf):
+    """Monthly counts and averages as the statistics job stores them."""
+    root = _statistics(spark, sf)
+    counts = spark.read.parquet(f"{root}/{jobs.MONTH_COUNT}")
+    return counts.join(spark.read.parquet(f"{root}/{jobs.POPULAR_MOVIE}"), ["mid", "ym"]).select(
+        "mid", "ym", F.col("count").cast("long").alias("count"), _r("avg_score"))
+
+
+def q_statistics_job_genres(spark, sf):
+    """The stored nested genre lists, flattened."""
+    top = spark.read.parquet(f"{_statistics(spark, sf)}/{jobs.GENRE_TOP}")
+    return top.select("genre", F.posexplode("recoms").alias("p", "m")).select(
+        "genre", (F.col("p") + 1).cast("int").alias("rank"), F.col("m.mid").alias("mid"),
+        F.round("m.score", DIGITS).alias("avg_score"))
+
+
 # ---------------------------------------------------------------- streaming
 
 def _event_stream(spark, sf) -> DataFrame:
@@ -244,6 +301,26 @@ def q_als_user_top10(spark, sf):
     return user_recs(model, fx.movies(spark, sf)).select("uid", "rank", "mid", _r("score"))
 
 
+def q_als_recs_valid(spark, sf):
+    """What must hold for each trained user's list, whatever the factors:
+    ranks 1 to n_recs, scores positive and descending, distinct catalogue
+    movies, each score the product of the user's and the movie's factors."""
+    ratings, movies = fx.ratings(spark, sf), fx.movies(spark, sf)
+    model = train_als(ratings)
+    recs = user_recs(model, movies)
+    known = predict_pairs(user_features(model), item_features(model).join(movies.select("mid"), "mid", "left_semi"),
+                          recs.select("uid", "mid"), ALS_RANK)
+    r = recs.join(known, ["uid", "mid"], "left").groupBy("uid").agg(
+        F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_list(F.struct("rank", "score"))).alias("s"),
+        F.countDistinct("mid").alias("movies"), F.min("score").alias("least"),
+        F.max(F.coalesce(F.abs(F.col("score") - F.col("prediction")), F.lit(1.0))).alias("off"))
+    return r.select(
+        "uid", (F.col("n") <= 10).alias("at_most_ten"), (F.col("n") == F.col("movies")).alias("movies_distinct"),
+        (F.transform("s", lambda x: x["rank"]) == F.sequence(F.lit(1), F.col("n").cast("int"))).alias("ranks_contiguous"),
+        (F.transform("s", lambda x: -x["score"]) == F.array_sort(F.transform("s", lambda x: -x["score"]))).alias("scores_descend"),
+        (F.col("least") > 0).alias("scores_positive"), (F.col("off") < 1e-4).alias("scores_are_products"))
+
+
 QUERIES: dict[str, Query] = {
     "rating_count_by_movie": q_rating_count_by_movie,
     "avg_score_by_movie": q_avg_score_by_movie,
@@ -274,10 +351,21 @@ QUERIES: dict[str, Query] = {
     "recent_state_stream": q_recent_state_stream,
     "spool_lines_stream": q_spool_lines_stream,
     "als_user_top10": q_als_user_top10,
+    "als_recs_valid": q_als_recs_valid,
+    "mail_log_records": q_mail_log_records,
+    "genre_match_relation": q_genre_match_relation,
+    "load_job_ratings": q_load_job_ratings,
+    "load_job_search_docs": q_load_job_search_docs,
+    "statistics_job_months": q_statistics_job_months,
+    "statistics_job_genres": q_statistics_job_genres,
 }
 
-_SPLIT14 = ", ".join(f"string_split(value, chr(9))[{i + 1}] AS {n}"
-                     for i, n in enumerate(LOG_RECORD_FIELDS["wechat"]))
+
+def _split14(kind: str) -> str:
+    return ", ".join(f"string_split(value, chr(9))[{i + 1}] AS {n}" for i, n in enumerate(LOG_RECORD_FIELDS[kind]))
+
+
+_SPLIT14 = _split14("wechat")
 
 YM = "strftime(TIMESTAMP '1970-01-01 00:00:00' + to_seconds(\"timestamp\"), '%Y%m')"
 
@@ -354,3 +442,15 @@ LEFT JOIN sims s ON s.mid = c.mid AND s.other_mid = r.mid"""),
     "recent_state_stream": with_ctes(["rec"], "SELECT uid, pos, mid, score FROM rec"),
     "spool_lines_stream": with_ctes(["lines"], f"SELECT {_SPLIT14} FROM lines"),
 }
+ORACLE |= {
+    "mail_log_records": with_ctes(["lines"], f"SELECT {_split14('mail')} FROM lines"),
+    "genre_match_relation": ORACLE["genre_match"],
+    "load_job_ratings": with_ctes(["ratings"], "SELECT * FROM ratings"),
+    "load_job_search_docs": ORACLE["movie_search_docs"],
+    "statistics_job_months": with_ctes(
+        ["ratings"], f"SELECT mid, {YM} AS ym, count(*) AS count, round(avg(score), 6) AS avg_score FROM ratings GROUP BY ALL"),
+    "statistics_job_genres": ORACLE["genre_top10"],
+    "als_recs_valid": with_ctes(
+        ["ratings"], "SELECT DISTINCT uid, true AS at_most_ten, true AS movies_distinct, true AS ranks_contiguous, "
+                     "true AS scores_descend, true AS scores_positive, true AS scores_are_products FROM ratings"),
+}
