@@ -34,7 +34,7 @@ def test_cli_load_then_statistics(tmp_dir):
     subprocess.run(base + ["realtime", "--sims", f"{out}/MovieSims", "--ratings", f"{out}/Rating", "--out", out,
                            "--checkpoint", f"{tmp_dir}/ck", "--inbox", inbox, "--once"],
                    check=True, env=env, cwd=tmp_dir, timeout=600, capture_output=True)
-    assert os.path.isdir(os.path.join(out, "StreamRecms", "batch_id=0"))
+    assert os.path.isdir(os.path.join(out, "StreamRecms", "run=0", "batch_id=0"))
 
 
 def test_cli_ingest_to_folder(tmp_dir):
