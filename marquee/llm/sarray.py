@@ -216,8 +216,9 @@ def repeated(entries: DataFrame, scratch: Scratch, batches: int, last: bool) ->
                                             (F.coalesce("open", F.lit(False)) & (F.col("r").isNull() | (F.col("r") == F.col("row"))))
                                             .alias("todo")), "marked")
         # repeated entries are only split where some entry of the gram is still open
-        single = marked.where("todo and not done").select("k1", "k2").distinct().withColumn("single", F.lit(True))
-        out = marked.join(single, ["k1", "k2"], "left").select(
+        # (stored first: a join of two plain shuffles can split a frequent gram)
+        single = scratch.keep(marked.where("todo and not done").select("k1", "k2").distinct(), "single")
+        out = marked.join(single.withColumn("single", F.lit(True)), ["k1", "k2"], "left").select(
             "row", "at", "lo", "hi", "done", (F.col("todo") & F.coalesce("single", F.lit(False))).alias("todo"))
     out = scratch.keep(out, "repeated")
     for _, level in family.levels:
