@@ -32,7 +32,7 @@ def texts(duck):
 
 def test_all_are_registered():
     assert {*QUERIES, "pipeline"} <= set(entry.queries())
-    assert [k.split("_")[0] for k in QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert len({k.split("_")[0] for k in QUERIES}) == len(QUERIES)
 
 
 @pytest.mark.parametrize("name", sorted(oracle.ORACLE))
