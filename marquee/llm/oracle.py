@@ -76,4 +76,24 @@ SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, least(d.doc_id,
 FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN low USING (doc_id)
 """
 
-ORACLE = {"op1_warc": OP1, "op2_decontaminate": OP2, "op7_rules": OP7, "op10_jaccard": OP10}
+OP13 = f"""
+WITH w AS (SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w
+           FROM documents, unnest(string_split_regex({_LOWERED}, '[.,;:!?\\x0A-\\x0D]')) t(piece)),
+total AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+f AS MATERIALIZED (
+  SELECT lang, m, array_to_string(w[s + 1:s + m], ' ') AS phrase, count(*) AS f
+  FROM w, unnest([1, 2, 3, 4]) a(m), unnest(range(0, greatest(0, len(w) - m + 1))) b(s) GROUP BY ALL HAVING count(*) >= 30),
+cut AS (SELECT lang, phrase, f AS a, k, array_to_string(string_split(phrase, ' ')[1:k], ' ') AS first,
+               array_to_string(string_split(phrase, ' ')[k + 1:], ' ') AS rest
+        FROM f, unnest(range(1, m)) t(k) WHERE m > 1),
+scored AS (SELECT c.*, x.f AS l, y.f AS r, CAST((CAST(2000000 AS HUGEINT) * c.a) // (x.f + y.f) AS BIGINT) AS score
+           FROM cut c JOIN f x ON x.lang = c.lang AND x.phrase = c.first JOIN f y ON y.lang = c.lang AND y.phrase = c.rest),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+kept AS (SELECT * FROM best b WHERE NOT EXISTS (
+  SELECT 1 FROM f g WHERE g.lang = b.lang AND len(string_split(g.phrase, ' ')) > len(string_split(b.phrase, ' '))
+                      AND 100 * g.f >= 80 * b.a AND contains(' ' || g.phrase || ' ', ' ' || b.phrase || ' ')))
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept JOIN total USING (lang) QUALIFY rank <= 2000
+"""
+
+ORACLE = {"op1_warc": OP1, "op2_decontaminate": OP2, "op7_rules": OP7, "op10_jaccard": OP10, "op13_collocations": OP13}
