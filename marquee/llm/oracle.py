@@ -76,6 +76,34 @@ SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, least(d.doc_id,
 FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN low USING (doc_id)
 """
 
+OP11 = f"""
+WITH RECURSIVE crc AS MATERIALIZED (
+  SELECT list_transform(range(256), lambda b: list_reduce(range(8),
+    lambda c, _: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b)) AS t),
+run AS (SELECT doc_id, unnest(regexp_extract_all({_LOWERED}, '[a-z\\x{{C0}}-\\x{{FF}}]+')) AS run FROM documents),
+own AS MATERIALIZED (SELECT run, coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run AS key, count(*) AS n FROM run GROUP BY doc_id, run),
+bytes AS (SELECT run, n, hex(encode(key)) AS x FROM own),
+hashed AS (SELECT run, n, xor(list_reduce(list_transform(range(len(x) // 2), lambda i: CAST('0x' || x[2 * i + 1:2 * i + 2] AS BIGINT)),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) AS h FROM bytes, crc),
+word AS MATERIALIZED (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n
+  FROM (SELECT n, CASE WHEN h % 199 = 0 THEN run[1:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word FROM hashed)
+  WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+gone AS MATERIALIZED (SELECT word, i, word[1:i - 1] || word[i + 1:] AS v FROM word, unnest(range(1, length(word) + 1)) t(i)),
+near AS (SELECT a.word, b.word AS other FROM gone a JOIN gone b ON a.i = b.i AND a.v = b.v AND a.word <> b.word
+         UNION SELECT a.word, w.word FROM gone a JOIN word w ON a.v = w.word
+         UNION SELECT w.word, a.word FROM gone a JOIN word w ON a.v = w.word),
+best AS (SELECT near.word, count(*) OVER (PARTITION BY near.word) AS n_near, other, o.n AS other_n
+         FROM near JOIN word o ON o.word = other
+         QUALIFY row_number() OVER (PARTITION BY near.word ORDER BY o.n DESC, other) = 1),
+form AS MATERIALIZED (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 5 * w.n THEN other END AS form,
+         CASE WHEN other_n >= 5 * w.n THEN other_n END AS form_n FROM word w LEFT JOIN best b ON b.word = w.word),
+up AS (SELECT word, word AS root FROM form WHERE form IS NULL
+       UNION ALL SELECT f.word, u.root FROM form f JOIN up u ON f.form = u.word)
+SELECT f.word, form, root, n, n_near, form_n FROM form f JOIN up ON up.word = f.word
+"""
+
 OP13 = f"""
 WITH w AS (SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w
            FROM documents, unnest(string_split_regex({_LOWERED}, '[.,;:!?\\x0A-\\x0D]')) t(piece)),
@@ -96,4 +124,5 @@ SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, p
 FROM kept JOIN total USING (lang) QUALIFY rank <= 2000
 """
 
-ORACLE = {"op1_warc": OP1, "op2_decontaminate": OP2, "op7_rules": OP7, "op10_jaccard": OP10, "op13_collocations": OP13}
+ORACLE = {"op1_warc": OP1, "op2_decontaminate": OP2, "op7_rules": OP7, "op10_jaccard": OP10, "op11_spelling": OP11,
+          "op13_collocations": OP13}

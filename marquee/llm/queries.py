@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from marquee.llm import (bpe, bpe_index, collocations, decontaminate, jaccard, langid, quality, rules, sarray, tokens, toxicity, warc)
+from marquee.llm import (bpe, bpe_index, collocations, decontaminate, jaccard, langid, quality, rules, sarray, spelling, tokens, toxicity, warc)
 
 QUERIES = {
     "op1_warc": warc.q_op1,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_tokens": tokens.q_op8,
     "op9_toxicity": toxicity.q_op9,
     "op10_jaccard": jaccard.q_op10,
+    "op11_spelling": spelling.q_op11,
     "op12_bpe": bpe_index.q_op12,
     "op13_collocations": collocations.q_op13,
 }
