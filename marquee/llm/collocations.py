@@ -40,7 +40,7 @@ from marquee.operators.order import with_position
 
 LEAST, LONGEST, COVER, TOP = 30, 4, 80, 2000
 #: Tokens counted together in a task, and bytes of a text split into words at a time.
-BLOCK, SLICE = 3 << 20, 1 << 20
+BLOCK, SLICE = 3 << 19, 1 << 18
 #: Most bits of the filter (2^28: 32 MiB), and bits for each key while it is smaller.
 MAX_BITS, BITS_PER_KEY = 28, 64
 _CHUNK = 16                         # bits of the filter gathered as one row
@@ -124,14 +124,19 @@ def _keys(it: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
         one = np.bincount(a, minlength=wide)[1:]
         pairs = a[:-1] * wide + a[1:]
         pairs, two = np.unique(pairs[(a[:-1] > 0) & (a[1:] > 0)], return_counts=True)
-        keys = np.concatenate((mix(h[1:]), _pair(h[pairs // wide], h[pairs % wide])))
-        n = np.concatenate((one, two))
-        yield from _sliced(pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n, pa.int64())], names=["key", "n"]))
+        yield from _key_rows(mix(h[1:]), one)
+        for i, j in _slices(len(pairs)):
+            yield from _key_rows(_pair(h[pairs[i:j] // wide], h[pairs[i:j] % wide]), two[i:j])
 
 
-def _sliced(b: pa.RecordBatch, rows: int = 1 << 17) -> Iterator[pa.RecordBatch]:
-    for i in range(0, b.num_rows, rows):
-        yield b.slice(i, rows)
+def _key_rows(keys: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for i, j in _slices(len(keys)):
+        yield pa.RecordBatch.from_arrays([pa.array(keys[i:j].view(np.int64)), pa.array(n[i:j], pa.int64())], names=["key", "n"])
+
+
+def _slices(n: int, step: int = 1 << 16) -> Iterator[tuple[int, int]]:
+    for i in range(0, n, step):
+        yield i, min(i + step, n)
 
 
 class Filter:
@@ -168,35 +173,36 @@ def _phrases(it: Iterator[pa.RecordBatch], size: int, longest: int, shared) -> I
     known = Filter(*shared.value)
     for block in _blocks(it, size):
         a, h = block.numbers(), block.hashes()
-        wide, words = len(h), [w.decode("utf-8", "replace") for w in block.number]
+        wide, words = len(h), list(block.number)
         one = np.bincount(a, minlength=wide)
         some = known.has(mix(h))
         some[0] = False
         at = np.flatnonzero(some)
-        phrases = [None, *(words[i] for i in at.tolist())]
-        counts = [np.array([one[1:].sum()]), one[at]]
-        edge = some[a[:-1]] & some[a[1:]]
-        where = np.flatnonzero(edge)
-        where = where[known.has(_pair(h[a[where]], h[a[where + 1]]))]
+        yield from _phrase_rows(block.lang, [None], np.array([one[1:].sum()]))
+        yield from _phrase_rows(block.lang, [words[i] for i in at.tolist()], one[at])
+        where = np.flatnonzero(some[a[:-1]] & some[a[1:]])
+        both = [known.has(_pair(h[a[where[i:j]]], h[a[where[i:j] + 1]])) for i, j in _slices(len(where))]
+        where = where[np.concatenate([np.zeros(0, bool), *both])]
         pairs, pair_at, n = np.unique(a[where] * wide + a[where + 1], return_inverse=True, return_counts=True)
-        runs = [[words[i], words[j]] for i, j in zip((pairs // wide).tolist(), (pairs % wide).tolist())]
-        phrases += map(" ".join, runs)
-        counts.append(n)
+        ends = (pairs % wide).tolist()
+        runs = [words[i] + b" " + words[j] for i, j in zip((pairs // wide).tolist(), ends)]
+        yield from _phrase_rows(block.lang, runs, n)
         # a run of m words is one of m - 1 words and the pair that begins at the last of them
-        pair = np.full(len(a) + longest, -1, np.int64)
+        pair = np.full(len(a) + longest, -1, np.int32)
         pair[where] = pair_at
-        got, length = pair_at, 2
-        while length < longest and len(where):
-            go_on = pair[where + length - 1] >= 0
-            where, got = where[go_on], got[go_on]
-            key, got, n = np.unique(got * max(1, len(pairs)) + pair[where + length - 1], return_inverse=True, return_counts=True)
-            runs = [[*runs[i], words[j]] for i, j in zip((key // max(1, len(pairs))).tolist(), (pairs[key % max(1, len(pairs))] % wide).tolist())]
-            phrases += map(" ".join, runs)
-            counts.append(n)
-            length += 1
-        out = pa.RecordBatch.from_arrays([pa.array([block.lang] * len(phrases), pa.string()), pa.array(phrases, pa.string()),
-                                          pa.array(np.concatenate(counts), pa.int64())], names=["lang", "phrase", "n"])
-        yield from _sliced(out)
+        got, width = pair_at, max(1, len(pairs))
+        for length in range(2, longest):
+            last = pair[where + length - 1]
+            where, got, last = where[last >= 0], got[last >= 0], last[last >= 0]
+            key, got, n = np.unique(got * width + last, return_inverse=True, return_counts=True)
+            runs = [runs[i] + b" " + words[ends[j]] for i, j in zip((key // width).tolist(), (key % width).tolist())]
+            yield from _phrase_rows(block.lang, runs, n)
+
+
+def _phrase_rows(lang: str, phrases: list[bytes | None], n: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for i, j in _slices(len(phrases)):
+        yield pa.RecordBatch.from_arrays([pa.array([lang] * (j - i), pa.string()), pa.array(phrases[i:j], pa.binary()).cast(pa.string()),
+                                          pa.array(n[i:j], pa.int64())], names=["lang", "phrase", "n"])
 
 
 def count_stream(texts: DataFrame, scratch: Scratch, least: int = LEAST, longest: int = LONGEST,
