@@ -36,7 +36,7 @@ from marquee.llm.common import Scratch, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 #: Bytes of text whose new words are indexed together.
-BLOCK = 16 << 20
+BLOCK = 8 << 20
 
 
 def byte_alphabet() -> list[str]:
@@ -91,10 +91,11 @@ class Vocabulary:
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         return np.where(self.keys[at] == key, self.rank_of[at], -1)
 
-    def encode_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all words, each merged on its own, and where each word's begin (and the last one's end)."""
         end, wide = self.size, self.size + 1        # end: the symbol between words, in no pair
-        raw = np.frombuffer(b"\xff".join([b"", *words, b""]), np.uint8)         # no UTF-8 text has this byte
+        # the mark between words becomes the byte FF, which no text has in UTF-8
+        raw = np.frombuffer("\udcff".join(["", *words, ""]).encode("utf-8", "surrogateescape"), np.uint8)
         sym = np.append(self.of_byte[:255], end).astype(np.int32)[raw]
         after = np.arange(1, len(sym) + 1, dtype=np.int32)
         after[-1] = len(sym) - 1
@@ -221,39 +222,35 @@ class Units:
                 out += [self.special[part]] if i % 2 else self._numbers(part)
         else:
             out = self._numbers(text)
-        return np.array(out, np.int64)
-
-    def ids(self) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all units in the order of their numbers, and where each unit's begin (and the last one's end)."""
-        words: list[list[str]] = [[]] * (len(self.plain) + len(self.spaced) + len(self.special))
-        for u, i in self.plain.items():
-            words[i] = pre_tokens(u, self.vocab.path)
-        for u, i in self.spaced.items():
-            words[i] = pre_tokens(" " + u, self.vocab.path)
-        ids, at = self.vocab.encode_words([w.encode("utf-8", "surrogatepass") for ws in words for w in ws])
-        at = at[np.append(0, np.cumsum(np.fromiter(map(len, words), np.int64, len(words))))]
-        if self.special:
-            where = np.array(list(self.special.values()))
-            own = np.array([self.vocab.special[s] for s in self.special], "<u4")
-            order = np.argsort(where)
-            ids = np.insert(ids, at[where[order]], own[order])
-            more = np.zeros(len(words), np.int64)
-            more[where] = 1
-            at = at + np.append(0, np.cumsum(more))
-        return ids, at
+        return np.array(out, np.int32)
+
+    def ids(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of all units; by their numbers, where each unit's begin and how many they are."""
+        words: list[str] = []
+        number = np.fromiter(itertools.chain(self.plain.values(), self.spaced.values(), self.special.values()), np.int64,
+                             len(self.plain) + len(self.spaced) + len(self.special))
+        ends = np.zeros(len(number) - len(self.special) + 1, np.int64)
+        for i, u in enumerate(itertools.chain(self.plain, map(" ".__add__, self.spaced)), 1):
+            words += pre_tokens(u, self.vocab.path)
+            ends[i] = len(words)
+        ids, at = self.vocab.encode_words(words)
+        own = np.array([self.vocab.special[s] for s in self.special], "<u4")
+        bounds = np.append(at[ends], len(ids) + 1 + np.arange(len(own)))
+        start, size = np.empty(len(number), np.int64), np.empty(len(number), np.int64)
+        start[number], size[number] = bounds[:-1], np.diff(bounds)
+        return np.append(ids, own), start, size
 
 
 def encode_block(texts: list[str], path: str = TOKENIZER) -> list[bytes]:
     """Ids of each text: the block's distinct units are merged in one index and dealt out by their numbers."""
     block = Units(vocabulary(path))
     docs = [block.numbers(t) for t in texts]
-    ids, at = block.ids()
+    ids, start, size = block.ids()
     out = []
     for d in docs:
-        size = at[d + 1] - at[d]
-        ends = np.cumsum(size)
-        n = int(ends[-1]) if len(d) else 0
-        out.append(ids[np.arange(n) + np.repeat(at[d] - ends + size, size)].tobytes())
+        n = size[d]
+        ends = np.cumsum(n)
+        out.append(ids[np.arange(ends[-1] if len(d) else 0) + np.repeat(start[d] - ends + n, n)].tobytes())
     return out
 
 
@@ -273,9 +270,8 @@ def blocks(texts: Iterable[str], size: int = BLOCK) -> Iterator[list[str]]:
 def encode_column(path: str = TOKENIZER, block: int = BLOCK):
     """A column function: text -> ids of the whole text, little-endian unsigned 32-bit."""
     @F.pandas_udf("binary")
-    def one(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for s in batches:
-            yield pd.Series([x for b in blocks((t or "" for t in s), block) for x in encode_block(b, path)], dtype=object)
+    def one(texts: pd.Series) -> pd.Series:
+        return pd.Series([x for b in blocks((t or "" for t in texts), block) for x in encode_block(b, path)], dtype=object)
 
     return one
 
