@@ -60,15 +60,33 @@ def movie_search_docs(movies: DataFrame, tags: DataFrame) -> DataFrame:
     return movies.join(tags_by_movie(tags), on="mid", how="left")
 
 
+def genre_windows(texts: DataFrame, seed: DataFrame) -> DataFrame:
+    """(genre, genres) where the lower-cased text ``genres`` contains the
+    lower-cased ``genre``, as an equi-join: a text contains a genre if one of
+    its windows of the genre's length equals it. The lengths of the seed are
+    few (at most that of its longest genre) and come in as a scalar; windows
+    are made row by row, so the work is linear in the text for each length. An
+    empty genre is the empty window of every text."""
+    low = seed.select("genre", F.lower("genre").alias("window"))
+    lengths = seed.agg(F.array_sort(F.collect_set(F.length(F.lower("genre")))).alias("lengths"))
+    cut = texts.select("genres", F.lower("genres").alias("text"), F.explode(lengths.scalar()).alias("n"))
+    cut = cut.where(F.length("text") >= F.col("n")).select(
+        "genres", "text", "n", F.explode(F.sequence(F.lit(1), F.length("text") - F.col("n") + 1)).alias("at"))
+    windows = cut.select("genres", F.substring("text", F.col("at"), F.col("n")).alias("window"))
+    return windows.join(low, "window").select("genre", "genres").distinct()
+
+
 def genre_match(movies: DataFrame, genres: Sequence[str] | DataFrame = DEFAULT_GENRES) -> DataFrame:
     """(genre, movie) for every genre contained, case-insensitively, in the
     movie's genres text; nulls match nothing, repeated genres count once. A
     list is a parameter: the theta join is a per-row filter over a literal
     array plus an explode, with no join and no shuffle. A relation (its first
-    column), of any size, is joined on the same predicate."""
+    column), of any size, is joined by windows (``genre_windows``)."""
     if isinstance(genres, DataFrame):
         seed = genres.select(F.col(genres.columns[0]).alias("genre")).where("genre is not null").distinct()
-        return seed.join(movies, genre_matches("genres", "genre"))
+        texts = movies.select("genres").where("genres is not null").distinct()
+        found = genre_windows(texts, seed)
+        return found.join(movies, "genres").select("genre", *movies.columns)
     seed = F.array(*[F.lit(g) for g in dict.fromkeys(g for g in genres if g is not None)])
     # explode + filter (both in whole-stage codegen; a lambda would not be)
     pairs = movies.select(F.explode(seed).alias("genre"), "*")

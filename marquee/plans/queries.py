@@ -87,7 +87,7 @@ def _stored_sims(spark, sf) -> DataFrame:
     """The similarity relation written once to the shared scratch folder, so
     each micro-batch reads a table instead of recomputing it."""
     path = scratch_dir(spark, "sims")
-    _sims(spark, sf).write.mode("overwrite").parquet(path)
+    rt.rank_similar(_sims(spark, sf)).write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 

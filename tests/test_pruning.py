@@ -1,0 +1,96 @@
+"""Joins that look at what can matter only: same rows as looking at everything, and less work."""
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from marquee.operators import realtime as rt
+from marquee.operators.cells import similar_pairs
+from marquee.operators.stats import genre_match
+from tests.test_similarity import vectors
+
+
+def brute_pairs(mat, t):
+    n = np.linalg.norm(mat, axis=1)
+    s = (mat @ mat.T) / np.outer(n, n)
+    return {(int(i), int(j)) for i, j in zip(*np.nonzero(s > t)) if i != j}
+
+
+def test_similar_pairs_of_clustered_and_scattered_vectors(spark):
+    rng = np.random.default_rng(2)
+    centers = rng.normal(size=(12, 16))
+    clustered = centers[rng.integers(0, 12, 900)] + rng.normal(scale=0.25, size=(900, 16))
+    hot = np.tile(centers[0], (300, 1)) + rng.normal(scale=1e-3, size=(300, 16))     # a third of the rows in one spot
+    scattered = rng.normal(size=(100, 16))
+    mat = np.vstack([clustered, hot, scattered])
+    df = vectors(spark, mat).repartition(5)
+    for t in (0.6, 0.95, -0.2):
+        for rows, cells in ((None, 1024), (97, 1024), (400, 7), (None, 1)):
+            got = similar_pairs(df, t, "mid", block_rows=rows, max_cells=cells).select("mid", "other_mid").collect()
+            assert len(got) == len({tuple(r) for r in got})
+            assert {tuple(r) for r in got} == brute_pairs(mat, t), (t, rows, cells)
+        if t == 0.6:
+            work = similar_pairs(df, t, "mid", count=True).agg(F.sum("scored")).first()[0]
+            assert work < 0.45 * len(mat) * (len(mat) - 1) / 2
+
+
+def test_similarities_do_not_depend_on_the_layout(spark):
+    rng = np.random.default_rng(8)
+    df = vectors(spark, rng.normal(size=(300, 50)))
+    runs = [{(r.mid, r.other_mid): r.sim for r in similar_pairs(df.repartition(p), 0.2, "mid", block_rows=b).collect()}
+            for p, b in ((1, None), (7, 31))]
+    assert runs[0] == runs[1] and len(runs[0]) > 100          # to the last bit
+
+
+def test_vectors_without_direction(spark):
+    none = vectors(spark, np.zeros((40, 3)))
+    assert similar_pairs(none, 0.6, "mid").count() == 0
+    assert similar_pairs(none.limit(0), 0.6, "mid").count() == 0
+
+
+def test_genre_relation_equals_the_predicate(spark):
+    movies = spark.createDataFrame(
+        [(1, "Action|Drama"), (2, "drama"), (3, None), (4, ""), (5, "ÉTÉ|Ação"), (6, "Action|Drama"), (7, "aaa")],
+        "mid int, genres string")
+    genres = ["Action", "ACTION", "dram", "", "été", "aa", "ação", None, "Drama", "x" * 50, "Action"]
+    seed = spark.createDataFrame([(g,) for g in genres], "g string")
+    got = sorted((r["genre"], r["mid"], r["genres"]) for r in genre_match(movies, seed).collect())
+    want = sorted((g, r["mid"], r["genres"]) for g in {x for x in genres if x is not None} for r in movies.collect()
+                  if r["genres"] is not None and g.lower() in r["genres"].lower())
+    assert got == want
+
+
+def test_many_genres(spark):
+    movies = spark.range(3000).select(F.col("id").cast("int").alias("mid"), F.concat(F.lit("g"), F.col("id") * 37, F.lit("|Drama")).alias("genres"))
+    seed = spark.range(100_000).select(F.concat(F.lit("G"), F.col("id"), F.lit("|")).alias("g"))
+    match = genre_match(movies, seed)
+    assert match.count() == sum(i * 37 < 100_000 for i in range(3000))
+    plan = match._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_candidates_of_a_hot_movie(spark):
+    n_items, n_users = 3000, 400
+    sims = spark.range(2, n_items).select(F.lit(1).alias("mid"), F.col("id").cast("int").alias("other_mid"),
+                                          (1 - F.col("id") / (2 * n_items)).alias("sim"))
+    triggers = spark.range(n_users).select(F.col("id").cast("int").alias("uid"), F.lit(1).alias("mid"))
+    # user u has rated the first u % 40 movies of the list, twice, and one that is not on it
+    history = triggers.select("uid", F.explode(F.expr("flatten(array(array(9999), sequence(2, 1 + uid % 40), sequence(2, 1 + uid % 40)))")).alias("mid")).where("uid % 40 > 0")
+    ranked = rt.rank_similar(sims)
+    probes = rt.candidate_probes(triggers, ranked, history)
+    per_user = {r["uid"]: r["n"] for r in probes.groupBy("uid").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert len(per_user) == n_users and all(n <= 10 + (u % 40 + 1 if u % 40 else 0) for u, n in per_user.items())
+    for given in (sims, ranked):
+        top = rt.similar_unrated_top_n(triggers, given, history).collect()
+        got = {}
+        for r in top:
+            got.setdefault(r["uid"], {})[r["rank"]] = r["mid"]
+        assert len(got) == n_users
+        assert all(m == {k + 1: 2 + u % 40 + k for k in range(10)} for u, m in got.items())
+
+
+def test_short_list_and_user_without_history(spark):
+    sims = spark.createDataFrame([(1, 2, 0.9), (1, 3, 0.9), (1, 4, 0.7), (5, 1, 0.8)], "mid int, other_mid int, sim double")
+    triggers = spark.createDataFrame([(7, 1), (8, 1), (9, 6)], "uid int, mid int")
+    history = spark.createDataFrame([(8, 2), (8, 3), (8, 4)], "uid int, mid int")
+    got = sorted((r["uid"], r["rank"], r["mid"]) for r in rt.similar_unrated_top_n(triggers, sims, history).collect())
+    assert got == [(7, 1, 2), (7, 2, 3), (7, 3, 4)]
