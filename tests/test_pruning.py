@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from marquee.operators import realtime as rt
 from marquee.operators.cells import similar_pairs
 from marquee.operators.stats import genre_match
+from marquee.operators.topdot import top_by_dot
 from tests.test_similarity import vectors
 
 
@@ -94,3 +95,34 @@ def test_short_list_and_user_without_history(spark):
     history = spark.createDataFrame([(8, 2), (8, 3), (8, 4)], "uid int, mid int")
     got = sorted((r["uid"], r["rank"], r["mid"]) for r in rt.similar_unrated_top_n(triggers, sims, history).collect())
     assert got == [(7, 1, 2), (7, 2, 3), (7, 3, 4)]
+
+
+def test_top_by_dot_stops_early_and_equals_brute_force(spark):
+    rng = np.random.default_rng(6)
+    items = rng.normal(size=(2000, 6)) * rng.pareto(2.0, size=(2000, 1))       # few items of large norm
+    users = rng.normal(size=(150, 6))
+    users[3] = 0.0
+    items[10] = 0.0
+    uf, itf = vectors(spark, users, "uid"), vectors(spark, items)
+    for least in (0.0, None, 2.5):
+        work = {}
+        got = {}
+        for r in top_by_dot(uf, itf, 10, least, item_rows=50, user_rows=40, work=work).collect():
+            got.setdefault(r["uid"], []).append((r["rank"], r["mid"], r["score"]))
+        want = {}
+        for u in range(len(users)):
+            s = (items * users[u]).sum(axis=1)
+            ids = [i for i in np.lexsort((np.arange(len(s)), -s)) if least is None or s[i] > least][:10]
+            if ids:
+                want[u] = [(k + 1, int(i), s[i]) for k, i in enumerate(ids)]
+        assert {u: [x[:2] for x in sorted(v)] for u, v in got.items()} == {u: [x[:2] for x in v] for u, v in want.items()}
+        assert all(abs(a[2] - b[2]) < 1e-12 for u in want for a, b in zip(sorted(got[u]), want[u]))
+        assert work["all"] == len(users) * len(items) and 0 < work["scored"] < 0.6 * work["all"], work
+
+
+def test_top_by_dot_of_empty_sides(spark):
+    some, none = vectors(spark, np.ones((3, 2))), vectors(spark, np.ones((3, 2))).limit(0)
+    users = some.withColumnRenamed("mid", "uid")
+    assert top_by_dot(users, none).count() == 0
+    assert top_by_dot(users.limit(0), some).count() == 0
+    assert top_by_dot(users, some, 2).count() == 6

@@ -79,22 +79,17 @@ def test_null_and_zero_vectors_have_no_pairs(spark):
 
 
 def test_kernels_give_same_result_in_small_chunks(monkeypatch):
-    from marquee.operators import blocks
+    from marquee.operators import topdot
     rng = np.random.default_rng(9)
-    lm, rm = rng.normal(size=(37, 4)), rng.normal(size=(23, 4))
-    lk, rk = np.arange(37), np.arange(100, 123)
-
-    def run(kernel, part):
-        return sorted(tuple(r) for out in kernel(lk, lm, rk, rm, part) for r in out.values.tolist())
-
-    for kernel in (blocks.cosine_threshold_kernel(0.3), blocks.topk_dot_kernel(4, None)):
-        for part in ("cross", "off"):
-            whole = run(kernel, part)
-            monkeypatch.setattr(blocks, "CHUNK_BYTES", 8 * 23 * 3)    # 3 rows per chunk
-            chunked = run(kernel, part)
-            monkeypatch.setattr(blocks, "CHUNK_BYTES", 32 << 20)
-            assert whole and [r[:2] for r in chunked] == [r[:2] for r in whole]
-            assert all(abs(a[2] - b[2]) < 1e-12 for a, b in zip(chunked, whole))
+    users, items, ids = rng.normal(size=(37, 4)), rng.normal(size=(23, 4)), np.arange(100, 123)
+
+    def run():
+        return sorted(tuple(r) for out in topdot.best_rows(users, np.full(37, -np.inf), items, ids, 4, None)
+                      for r in zip(*(x.tolist() for x in out)))
+
+    whole = run()
+    monkeypatch.setattr(topdot, "CHUNK_BYTES", 8 * 23 * 3)        # 3 rows per chunk
+    assert run() == whole and len(whole) == 37 * 4
 
 
 def test_block_layout_does_not_change_results_on_real_tables(spark):
