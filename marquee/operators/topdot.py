@@ -3,7 +3,7 @@
 Items are range-partitioned by falling norm into blocks. A product is at most
 the product of the norms, so once a user's n-th best score is above |user| times
 the largest norm of a block, that block and all after it hold nothing for the
-user. Blocks are taken in rounds of doubling size: after each round the users
+user. Blocks are taken in rounds of growing size: after each round the users
 keep their n best so far, and only users who can still gain go on, each to the
 blocks that it can gain from. All rounds together read the item blocks once for
 each block of open users; the number of rounds grows with the logarithm of the
@@ -28,9 +28,11 @@ from marquee.operators.blocks import CHUNK_BYTES, _matrix
 from marquee.operators.topk import top_n_per_group
 from marquee.session import scratch_root, ship_package
 
-ITEM_ROWS = 4096        # items of a block, while that gives at most MAX_BLOCKS
+ITEM_ROWS = 8192        # items of a block, while that gives at most MAX_BLOCKS
 MAX_BLOCKS = 4096
-USER_ROWS = 1 << 16
+GROWTH = 4              # a round takes so many times the blocks that all rounds before it took
+USER_ROWS = 1 << 17     # users of a block; fewer while there are not MIN_PARTS blocks
+MIN_PARTS = 16
 _SLACK = 1e-9
 
 
@@ -70,7 +72,7 @@ def top_by_dot(
     n: int = 10,
     min_score: float | None = 0.0,
     item_rows: int | None = None,
-    user_rows: int = USER_ROWS,
+    user_rows: int | None = None,
     work: dict | None = None,
 ) -> DataFrame:
     """uid, rank, mid, score: per user (uid, features) the ``n`` items (mid,
@@ -81,11 +83,16 @@ def top_by_dot(
     ship_package(spark)
     scratch_root(spark)                         # names the checkpoint folder
     items, users = _vectors(item_f, "mid"), _vectors(user_f, "uid")
-    n_items, n_users = items.count(), users.count()
+    n_items, top = items.agg(F.count(F.lit(1)), F.max("norm")).first()
+    n_users = users.count()
     n_blocks = max(1, math.ceil(n_items / (item_rows or max(ITEM_ROWS, math.ceil(n_items / MAX_BLOCKS)))))
-    items = items.repartitionByRange(n_blocks, F.desc("norm"), F.asc("mid")).withColumn("block", F.spark_partition_id()).checkpoint()
-    blocks = sorted((r["block"], r["top"], r["n"]) for r in items.groupBy("block").agg(F.max("norm").alias("top"), F.count(F.lit(1)).alias("n")).collect())
-    n_parts = max(1, math.ceil(n_users / user_rows))
+    if n_blocks == 1:
+        items, blocks = items.withColumn("block", F.lit(0)), [(0, top, n_items)] if n_items else []
+    else:
+        items = items.repartitionByRange(n_blocks, F.desc("norm"), F.asc("mid")).withColumn("block", F.spark_partition_id()).checkpoint()
+        blocks = sorted((r["block"], r["top"], r["n"]) for r in
+                        items.groupBy("block").agg(F.max("norm").alias("top"), F.count(F.lit(1)).alias("n")).collect())
+    n_parts = max(1, math.ceil(n_users / (user_rows or max(1024, min(USER_ROWS, math.ceil(n_users / MIN_PARTS))))))
     least = -math.inf if min_score is None else min_score
     schema = "uid int, mid int, score double"
 
@@ -122,13 +129,13 @@ def top_by_dot(
         got = both.groupBy("block", "part").applyInPandas(run, schema)
         got = got if best is None else got.unionByName(best.select("uid", "mid", "score"))
         best = top_n_per_group(got, ["uid"], [F.desc("score"), F.asc("mid")], n).select("uid", "rank", "mid", "score")
-        at, size = at + size, max(1, at + size)
+        at, size = at + size, GROWTH * (at + size)
         if at < len(blocks):
             best = best.checkpoint()
             bars = best.groupBy("uid").agg(F.max("rank").alias("have"), F.min("score").alias("worst"))
             bar = F.when(F.col("have") == n, F.col("worst")).otherwise(F.lit(least))
             open_users = users.join(bars, "uid", "left").select("uid", "v", "norm", bar.alias("bar"))
-            open_users = open_users.where(F.col("norm") * blocks[at][1] * (1 + _SLACK) >= F.col("bar")).checkpoint()
+            open_users = open_users.where(F.col("norm") * blocks[at][1] * (1 + _SLACK) >= F.col("bar"))
             if open_users.isEmpty():
                 break
     return spark.createDataFrame([], "uid int, rank int, mid int, score double") if best is None else best
