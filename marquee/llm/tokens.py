@@ -106,9 +106,9 @@ class Dac:
 
 # ---------------------------------------------------------------- tokenizing
 
-#: Letters that every Unicode version knows, the marks that often follow a word, and one line end.
+#: Letters that every Unicode version knows, the marks that may follow a word (no apostrophe, which contractions have), one line end.
 _LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
-_PLAIN = re.compile(f"([{_LETTERS}]+)([.,;:!?]*)(?:(\n)([{_LETTERS}].*))?", re.DOTALL)
+_PLAIN = re.compile(f"([{_LETTERS}]+)([!-&(-/:-@[-`{{-~]*)(?:(\n)([{_LETTERS}].*))?", re.DOTALL)
 
 
 class _Words(dict):
@@ -128,8 +128,10 @@ class _Words(dict):
     def __missing__(self, unit: str) -> bytes:
         ids = self.before.get(unit)
         if ids is None:
-            m = _PLAIN.fullmatch(unit)
-            if m is None:
+            m = None
+            if unit.isascii() and unit.isalpha():
+                ids = self.encoder.ask_word(unit, self.prefix)
+            elif (m := _PLAIN.fullmatch(unit)) is None:
                 ids = self.encoder.ask(self.prefix + unit)
             else:
                 word, marks, line, rest = m.groups()
@@ -195,6 +197,8 @@ def encoder(path: str = TOKENIZER) -> Encoder:
 
 # ------------------------------------------------------------ write and read
 
+#: Positions with one key when they look for their segments.
+COARSE = 1 << 20
 SEGMENT = "part int, seq int, first long, n long, doc_ids array<bigint>, starts array<bigint>, dac binary"
 
 
@@ -258,12 +262,17 @@ def tokens_at(spark: SparkSession, path: str, positions: DataFrame, at: str = "a
 
     def pick(batches):
         for b in batches:
-            ids = [Dac(blob)[i - s] for i, s, blob in
-                   zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist())]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.int64())], names=["at", "id"])
+            for k in range(b.num_rows):
+                start, at, blob = (b.column(c)[k].as_py() for c in range(3))
+                dac = Dac(blob)
+                yield pa.RecordBatch.from_arrays([pa.array([start + i for i in at], pa.int64()), pa.array([dac[i] for i in at], pa.int64())],
+                                                 names=["at", "id"])
 
-    own = seg.join(p, (p["at"] >= seg["start"]) & (p["at"] < seg["start"] + seg["n"]))
-    return own.select("at", "start", "dac").mapInArrow(pick, "at long, id long")
+    # positions meet the bounds of segments by a coarse key; a segment is then opened once for all of its positions
+    bounds = seg.select("part", "seq", "start", "n", F.explode(F.sequence(F.expr(f"start div {COARSE}"), F.expr(f"(start + n - 1) div {COARSE}"))).alias("c"))
+    own = p.withColumn("c", F.expr(f"at div {COARSE}")).join(bounds, "c").where("at >= start and at < start + n")
+    lists = own.groupBy("part", "seq").agg(F.collect_list(F.col("at") - F.col("start")).alias("at"))
+    return lists.join(seg.select("part", "seq", "start", "dac"), ["part", "seq"]).select("start", "at", "dac").mapInArrow(pick, "at long, id long")
 
 
 def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -271,8 +280,9 @@ def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = []
         for start, n, ids, starts, blob in zip(*(c.to_pylist() for c in b.columns)):
             dac = Dac(blob)
+            run = memoryview(dac.slice(0, n)).cast("B")             # all documents are read: the segment's ids at once
             for doc, i, j in zip(ids, starts, [*starts[1:], n]):
-                out.append((doc, start + i, j - i, zlib.crc32(dac.slice(i, j).tobytes())))
+                out.append((doc, start + i, j - i, zlib.crc32(run[4 * i:4 * j])))
         cols = list(zip(*out)) or [[]] * 4
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols],
                                          names=["doc_id", "start", "n_tokens", "ids_crc32"])

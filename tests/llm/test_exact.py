@@ -237,7 +237,7 @@ def test_encoder_units_are_the_librarys(nasty):
     t = Tokenizer.from_file(tokens.TOKENIZER)
     t.encode_special_tokens = True
     rng = random.Random(8)
-    bits = ["'re", " ", "  ", "\n", "\n ", "\t", "x", "12", "é", "\x1c", " ", "!", "<|endoftext|>", "word"]
+    bits = ["'re", " ", "  ", "\n", "\n ", "\t", "x", "12", "é", "\x1c", " ", "!", "<|endoftext|>", "word", "$$$", "&", "-", "Été", ".\nNext", "'s", "~'"]
     for text in [*("".join(rng.choices(bits, k=40)) for _ in range(300)), *(x for _, x in nasty if x)]:
         assert np.frombuffer(tokens.encoder()(text), "<u4").tolist() == t.encode(text, add_special_tokens=False).ids
 
