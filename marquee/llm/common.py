@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import gc
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +37,27 @@ def fold(doc_id: Column, n: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % n
 
 
+def release() -> None:
+    """Gives memory that this process has freed back to the system, as far as its allocators can."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def lean(task):
+    """Wraps a generator that a task runs: Python workers live on from stage to
+    stage, so each begins and ends without what earlier ones have freed."""
+    @functools.wraps(task)
+    def run(*args):
+        release()
+        yield from task(*args)
+        release()
+
+    return run
+
+
 class Scratch:
     """Tables of one run in the shared scratch folder.
 
@@ -71,7 +95,10 @@ class Scratch:
         path = self.path(name, result)
         df.write.parquet(path)
         self.tidy()
-        return self.spark.read.schema(df.schema).parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        if result:
+            out.stored_at = path
+        return out
 
     def bucketed(self, df: DataFrame, *keys: str) -> DataFrame:
         """``df`` stored by hash of the keys in as many buckets as a shuffle has
@@ -85,6 +112,12 @@ class Scratch:
         self.tidy()
         return self.spark.table(name)
 
+    def discard(self, df: DataFrame) -> None:
+        """Deletes a result that nobody reads any more; other tables stay."""
+        path = getattr(df, "stored_at", None)
+        if path:
+            self.delete(path)
+
     def drop(self, df) -> None:
         """Deletes the files of one stored table before the block ends."""
         for f in df.inputFiles()[:1]:

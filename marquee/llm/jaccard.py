@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm.common import Scratch, shuffle_partitions, table
+from marquee.llm.common import Scratch, lean, shuffle_partitions, table
 from marquee.llm.components import components
 from marquee.llm.sarray import numbered
 from marquee.llm.shingles import exact_shingles, mix, shingles
@@ -102,6 +102,7 @@ def part_keys(h: np.ndarray, num: int, den: int) -> Iterator[tuple[int, int, np.
         yield band, slack, mix(x + mix(at * np.uint64(64) + np.uint64(band + 1))).view(np.int64)
 
 
+@lean
 def _sets(it: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     for b in it:
         out = []
@@ -119,6 +120,7 @@ def _sets(it: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
 KEY = "key long, row long, band int, slack int"
 
 
+@lean
 def _keys(it: Iterator[pa.RecordBatch], k: int, num: int, den: int) -> Iterator[pa.RecordBatch]:
     for b in it:
         for at in range(0, b.num_rows, 500):
@@ -137,6 +139,7 @@ def _keys(it: Iterator[pa.RecordBatch], k: int, num: int, den: int) -> Iterator[
 GROUP = "kind string, key long, band int, slack int, members array<bigint>"
 
 
+@lean
 def _groups(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From rows in order of key and row: groups of up to HOT members whole;
     of larger ones each member, and each pair of neighbours. Holds one batch
@@ -201,6 +204,7 @@ def _near(num: int, den: int):
 
 
 def _linked(k: int, num: int, den: int):
+    @lean
     def check(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: tuple = (None, set())
         for b in it:

@@ -40,10 +40,11 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm.common import Scratch, fresh, shuffle_partitions, table
+from marquee.llm.common import Scratch, fresh, lean, shuffle_partitions, table
 
 LENGTH, GRAM, RUN = 200, 32, 16
 TILE = 1 << 17
+PORTION = 1 << 14             # refined entries handed on together
 ENTRY = "row long, batch int, at long, lo long, hi long, k1 long, k2 long, f long"
 _SPREAD = np.random.default_rng(7).integers(0, 1 << 32, 256, dtype=np.uint32)
 _MULT = {1: 0x9E3779B1, 2: 0x85EBCA77, 4: 0xC2B2AE3D, 8: 0x27D4EB2F, 16: 0x165667B1}
@@ -109,6 +110,7 @@ def _batch(row, batches, at, lo, hi, k1, k2, f) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=[x.split()[0] for x in ENTRY.split(", ")])
 
 
+@lean
 def _suffixes(it: Iterator[pa.RecordBatch], batches: int) -> Iterator[pa.RecordBatch]:
     """Sparse suffix entries of whole documents."""
     for b in it:
@@ -143,14 +145,27 @@ def _windows(raw: bytes, todo) -> Iterator[tuple]:
             yield at, p, p, k >> 64, k & 0xFFFFFFFFFFFFFFFF, k & 0xFFFFFFFFFFFFFFFF
 
 
+@lean
 def _refined(it: Iterator[pa.RecordBatch], split, batches: int) -> Iterator[pa.RecordBatch]:
+    """Entries of what is split, a bounded number at a time, however many a text has."""
+    def ready(rows: list, got: list) -> pa.RecordBatch:
+        at, lo, hi, k1, k2, f = zip(*got)
+        return _batch(rows, batches, np.array(at), np.array(lo), np.array(hi), _signed(k1), _signed(k2), _signed(f))
+
+    rows, got = [], []
     for b in it:
-        for row, text, todo in zip(*(c for c in b.columns)):
-            raw = text.as_py().encode("utf-8", "surrogatepass")
-            got = list(split(raw, ((x["at"], x["lo"], x["hi"]) for x in todo.as_py())))
-            at, lo, hi, k1, k2, f = zip(*got)
-            yield _batch([row.as_py()] * len(got), batches, np.array(at), np.array(lo), np.array(hi),
-                         _signed(k1), _signed(k2), _signed(f))
+        for k in range(b.num_rows):
+            row, raw = b.column(0)[k].as_py(), b.column(1)[k].as_py().encode("utf-8", "surrogatepass")
+            todo = b.column(2)[k].values
+            places = zip(*(todo.field(c).to_pylist() for c in range(3)))
+            for entry in split(raw, places):
+                rows.append(row)
+                got.append(entry)
+                if len(got) == PORTION:
+                    yield ready(rows, got)
+                    rows, got = [], []
+    if got:
+        yield ready(rows, got)
 
 
 KEY = ["k1", "k2", "f"]
@@ -303,9 +318,10 @@ def remove_repeats(docs: DataFrame, out: str, scratch: Scratch, text: str = "tex
     """
     stored, row = numbered(docs, scratch)
     spans = repeated_spans(stored, row, text, scratch, batches)
-    lists = spans.groupBy(F.col("row").alias(row)).agg(F.collect_list(F.struct("lo", "hi")).alias(f"{row}_starts"))
+    starts = fresh(stored, "starts")
+    lists = spans.groupBy(F.col("row").alias(row)).agg(F.collect_list(F.struct("lo", "hi")).alias(starts))
     joined = stored.join(lists, row, "left")
-    return joined.withColumn(out, _cutter()(F.col(text), F.col(f"{row}_starts"))).drop(row, f"{row}_starts")
+    return joined.withColumn(out, _cutter()(F.col(text), F.col(starts))).drop(row, starts)
 
 
 def q_op4(spark: SparkSession, sf_dir: str) -> DataFrame:
