@@ -79,9 +79,15 @@ ORACLE_SQL = None           # neither the learnt profiles nor the encoder's merg
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written and read again."""
+    """All stages over ``documents``. Each one's rows are written once, by the
+    stage itself if it stores them anyway, and deleted when the next has read
+    them; the last one's stay for the caller."""
     docs = table(spark, sf_dir, "documents")
     with Scratch(spark, "pipeline") as s:
-        for i, (name, stage) in enumerate(STAGES):
-            docs = s.keep(stage(spark, docs, sf_dir), name, result=i == len(STAGES) - 1)
-        return docs
+        for name, stage in STAGES:
+            out = stage(spark, docs, sf_dir)
+            if getattr(out, "stored_at", None) is None:
+                out = s.keep(out, name, result=True)
+            s.discard(docs)
+            docs = out
+    return docs
