@@ -297,15 +297,38 @@ def _cutter():
     return one
 
 
-def valid_text():
-    """A column function: bytes -> text, without characters that lost a byte."""
+def _text_cutter():
+    """(text, first and last starts of removed windows) -> the text without them."""
     @F.pandas_udf("string")
-    def one(raw: pd.Series) -> pd.Series:
-        return raw.map(lambda b: b.decode("utf-8", "ignore") if b is not None else None)
+    def one(texts: pd.Series, lo: pd.Series, hi: pd.Series) -> pd.Series:
+        out = []
+        for t, a, b in zip(texts, lo, hi):
+            if t is not None and a is not None and len(a):
+                t = cut(t.encode("utf-8", "surrogatepass"), list(zip(a.tolist(), b.tolist())))[0].decode("utf-8", "ignore")
+            out.append(t)
+        return pd.Series(out, dtype=object)
 
     return one
 
 
+def _with_starts(docs: DataFrame, text: str, scratch: Scratch, batches: int) -> tuple[DataFrame, str, str]:
+    """``docs`` with the starts of their repeated windows, and the names of that column and of the row's number."""
+    stored, row = numbered(docs, scratch)
+    spans = repeated_spans(stored, row, text, scratch, batches)
+    starts = fresh(stored, "starts")
+    lists = spans.groupBy(F.col("row").alias(row)).agg(F.collect_list(F.struct("lo", "hi")).alias(starts))
+    return stored.join(lists, row, "left"), starts, row
+
+
+def cut_repeats(docs: DataFrame, scratch: Scratch, text: str = "text", batches: int = 4) -> DataFrame:
+    """``docs`` with the repeated strings cut out of ``text`` (see
+    ``remove_repeats``); characters that a cut splits go with it. A null text
+    stays null. One pass of Python over the texts."""
+    joined, starts, row = _with_starts(docs, text, scratch, batches)
+    c = F.col(starts)
+    return joined.withColumn(text, _text_cutter()(F.col(text), c["lo"], c["hi"])).drop(row, starts)
+
+
 def remove_repeats(docs: DataFrame, out: str, scratch: Scratch, text: str = "text", batches: int = 4) -> DataFrame:
     """``docs`` with a struct column ``out``: n_bytes, n_removed, spans (removed
     [first, last) byte runs) and kept (the remaining bytes).
@@ -316,11 +339,7 @@ def remove_repeats(docs: DataFrame, out: str, scratch: Scratch, text: str = "tex
     nothing; repeated rows are copies of each other. All other columns stay;
     ``out`` must not be one of them. The result reads tables of ``scratch``.
     """
-    stored, row = numbered(docs, scratch)
-    spans = repeated_spans(stored, row, text, scratch, batches)
-    starts = fresh(stored, "starts")
-    lists = spans.groupBy(F.col("row").alias(row)).agg(F.collect_list(F.struct("lo", "hi")).alias(starts))
-    joined = stored.join(lists, row, "left")
+    joined, starts, row = _with_starts(docs, text, scratch, batches)
     return joined.withColumn(out, _cutter()(F.col(text), F.col(starts))).drop(row, starts)
 
 
