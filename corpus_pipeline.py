@@ -47,10 +47,9 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Cuts repeated strings out of the texts; characters that a cut splits go with it."""
     ship_package(spark)
     with Scratch(spark, "repeats") as s:
-        c = fresh(docs, "cut")
-        got = sarray.remove_repeats(docs, c, s)
-        text = F.when(F.col(c)["n_removed"] > 0, sarray.valid_text()(F.col(c)["kept"])).otherwise(F.col("text"))
-        got = got.withColumn("text", text).withColumn("n_chars", F.length("text").cast("long"))
+        got = sarray.cut_repeats(docs, s)
+        if "n_chars" in docs.columns:
+            got = got.withColumn("n_chars", F.length("text").cast("long"))
         return s.keep(got.select(docs.columns), result=True)
 
 
