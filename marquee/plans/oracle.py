@@ -24,33 +24,33 @@ CTE = {
          o.o_orderpriority AS tag,
          CAST(date_diff('second', TIMESTAMP '1970-01-01 00:00:00', o.o_orderdate) AS INTEGER) AS "timestamp"
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)""",
-    "feat": """feat AS (
+    "feat": """feat AS MATERIALIZED (
   SELECT CAST(vec_id AS INTEGER) AS mid, CAST((i - 1) // 8 AS INTEGER) AS k, sum(CAST(e AS DOUBLE)) AS f
   FROM (SELECT vec_id, unnest(embedding) AS e, generate_subscripts(embedding, 1) AS i FROM embeddings)
   GROUP BY ALL)""",
-    "sims": """nrm AS (SELECT mid, sqrt(sum(f * f)) AS nr FROM feat GROUP BY mid),
-dots AS (
+    "sims": """nrm AS MATERIALIZED (SELECT mid, sqrt(sum(f * f)) AS nr FROM feat GROUP BY mid),
+dots AS MATERIALIZED (
   SELECT a.mid AS mid, b.mid AS other_mid, sum(a.f * b.f) AS d
   FROM feat a JOIN feat b ON a.k = b.k AND a.mid <> b.mid GROUP BY ALL),
 sims AS MATERIALIZED (
   SELECT d.mid, d.other_mid, d.d / (x.nr * y.nr) AS sim
   FROM dots d JOIN nrm x ON d.mid = x.mid JOIN nrm y ON d.other_mid = y.mid
   WHERE x.nr > 0 AND y.nr > 0 AND d.d / (x.nr * y.nr) > 0.6)""",
-    "log": """log AS (
+    "log": """log AS MATERIALIZED (
   SELECT CAST(user_id AS INTEGER) AS uid,
          CAST(event_id % (SELECT count(*) FROM embeddings) AS INTEGER) AS mid,
          CAST(least(5.0, 0.5 + floor(value / 10) * 0.5) AS DOUBLE) AS score,
          CAST(date_diff('second', TIMESTAMP '1970-01-01 00:00:00', ts) AS INTEGER) AS "timestamp",
          ts, event_id
   FROM events)""",
-    "trig": """trig AS (
+    "trig": """trig AS MATERIALIZED (
   SELECT uid, mid FROM log
   QUALIFY row_number() OVER (PARTITION BY uid ORDER BY ts DESC, event_id DESC, mid DESC) = 1)""",
     "rec": """rec AS MATERIALIZED (
   SELECT uid, CAST(row_number() OVER (PARTITION BY uid ORDER BY ts DESC, event_id DESC, mid DESC) AS INTEGER) AS pos,
          mid, score
   FROM log QUALIFY pos <= 11)""",
-    "hist": """hist AS (SELECT DISTINCT uid, mid FROM log)""",
+    "hist": """hist AS MATERIALIZED (SELECT DISTINCT uid, mid FROM log)""",
     "cand": """cand AS MATERIALIZED (
   SELECT t.uid, s.other_mid AS mid, s.sim,
          CAST(row_number() OVER (PARTITION BY t.uid ORDER BY s.sim DESC, s.other_mid ASC) AS INTEGER) AS rank

@@ -16,18 +16,22 @@ from pyspark.sql import functions as F
 
 from marquee.operators import realtime as rt
 from marquee.operators import stats
-from marquee.operators.factors import ALS_RANK, item_features, predict_pairs, top_n_by_dot, train_als, user_features, user_recs
-from marquee.operators.similarity import item_similarity, pair_similarity, similar_lists
+from marquee.operators.order import with_position
+from marquee.operators.factors import ALS_RANK, equation_residuals, item_features, predict_pairs, top_n_by_dot, train_als, user_features, user_recs
+from marquee.operators.similarity import flat_lists, item_similarity, pair_similarity, similar_lists
 from marquee.plans import jobs
 from marquee.plans.oracle import FIXTURE_GENRES, genre_values, with_ctes
 from marquee.schemas import LOG_RECORD_FIELDS, RATING
 from marquee.session import scratch_dir
 from marquee.sources import fixtures as fx
 from marquee.sources import text
-from marquee.sources.tables import genre_seed, read_table
+from marquee.sinks.tables import write_lines_to_topic, write_table
+from marquee.sources.tables import genre_seed, read_lists, read_table, register_views
+from marquee.streaming import history as live
 from marquee.streaming import realtime as srt
 from marquee.streaming import state as sstate
 from marquee.streaming.ingest import ingest_logs
+from marquee.streaming.sources import rating_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 DIGITS = 6
@@ -83,6 +87,13 @@ def _sims(spark, sf):
     return item_similarity(fx.item_features(spark, sf))
 
 
+def _stored(spark, df: DataFrame, name: str) -> DataFrame:
+    """``df`` after all its work is done."""
+    path = scratch_dir(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def _stored_sims(spark, sf) -> DataFrame:
     """The similarity relation written once to the shared scratch folder, so
     each micro-batch reads a table instead of recomputing it."""
@@ -140,7 +151,7 @@ def q_pair_similarity(spark, sf):
     cand = rt.similar_unrated_top_n(rt.latest_per_user(log), sims, rt.rated_history(log))
     pairs = cand.select("uid", F.col("mid").alias("mid_a")).join(
         rt.recent_ratings(log).select("uid", "pos", F.col("mid").alias("mid_b")), "uid")
-    return pair_similarity(pairs, sims).select("uid", "mid_a", "pos", "mid_b", _r("sim"))
+    return _stored(spark, pair_similarity(pairs, sims).select("uid", "mid_a", "pos", "mid_b", _r("sim")), "pairs")
 
 
 def q_similar_unrated_top10(spark, sf):
@@ -321,6 +332,84 @@ def q_als_recs_valid(spark, sf):
         (F.col("least") > 0).alias("scores_positive"), (F.col("off") < 1e-4).alias("scores_are_products"))
 
 
+def q_als_equations(spark, sf):
+    """Each user's factors solve the user's normal equation."""
+    ratings = fx.ratings(spark, sf)
+    model = train_als(ratings)
+    r = equation_residuals(ratings, user_features(model), item_features(model))
+    return r.select("uid", (F.col("residual") < 1e-4).alias("equation_holds"))
+
+
+# ------------------------------------------------- orders, views, other sinks
+
+def q_rating_counts_in_order(spark, sf):
+    """Movies by their number of ratings, with the place in that order."""
+    counts = stats.rating_count_by_movie(fx.ratings(spark, sf))
+    return with_position(counts, [F.desc("count"), F.asc("mid")], scratch_dir(spark, "order")).select(
+        "mid", F.col("count").cast("long").alias("count"), "position")
+
+
+def q_month_averages_in_order(spark, sf):
+    """Monthly averages by score, with the place in that order and in the month."""
+    months = stats.avg_score_by_movie_month(fx.ratings(spark, sf))
+    order = [F.desc("avg_score"), F.asc("mid"), F.asc("ym")]
+    placed = with_position(months, order, scratch_dir(spark, "order"))
+    placed = with_position(placed, order, scratch_dir(spark, "order"), ["ym"], "place")
+    return placed.select("mid", "ym", _r("avg_score"), "position", "place")
+
+
+def q_view_text_ratings(spark, sf):
+    """SQL text over named views."""
+    register_views(spark, marquee_movies=fx.movies(spark, sf), marquee_ratings=fx.ratings(spark, sf))
+    return spark.sql("SELECT m.genres, count(*) AS n, round(avg(r.score), 6) AS avg_score, count(DISTINCT r.uid) AS users "
+                     "FROM marquee_ratings r JOIN marquee_movies m ON r.mid = m.mid GROUP BY m.genres")
+
+
+def q_lines_to_files(spark, sf):
+    """Lines sent as message values, here to files."""
+    path = scratch_dir(spark, "lines")
+    write_lines_to_topic(fx.log_lines(spark, sf), "log", "text", path=path)
+    return spark.read.text(path)
+
+
+def q_spool_provenance_stream(spark, sf):
+    """Every spooled line knows its file and the date of its archive folder."""
+    root = scratch_dir(spark, "spool")
+    fx.log_lines(spark, sf).write.text(f"{root}/in")
+    q = ingest_logs(spark, f"{root}/in", f"{root}/ckpt", sink_fmt="parquet", sink_path=f"{root}/out",
+                    archive_dir=f"{root}/archive", trigger={"availableNow": True})
+    q.awaitTermination()
+    named = F.col("filename").rlike("^part-.*[.]txt$") & F.endswith("file_path", F.concat(F.lit("/in/"), F.col("filename")))
+    dated = F.datediff(F.current_date(), F.to_date("archive_date", "yyyy-MM-dd")).between(0, 1)
+    return spark.read.parquet(f"{root}/out").select("value", named.alias("names_its_file"), dated.alias("dated_today"))
+
+
+# ------------------------------------------------ realtime job on its own data
+
+def q_realtime_from_lists(spark, sf):
+    """The realtime scores from the offline job's nested lists alone."""
+    path = scratch_dir(spark, "lists")
+    write_table(similar_lists(_sims(spark, sf), nested=True), path)
+    return rt.realtime_recs(fx.rating_log(spark, sf), flat_lists(read_lists(spark, path)))
+
+
+def q_realtime_two_batches(spark, sf):
+    """The realtime job fed with rating messages in two batches, from nested
+    lists and an empty history: the second batch is scored on the first's
+    ratings, which are merged into the history."""
+    root = scratch_dir(spark, "realtime")
+    log = fx.rating_log(spark, sf).select("uid", "mid", "score", "timestamp", "event_id")
+    half = log.agg(F.max("event_id")).first()[0] // 2
+    write_table(similar_lists(_sims(spark, sf), nested=True), f"{root}/lists")
+    live.create(log.select("uid", "mid", "score", "timestamp").limit(0), f"{root}/history", 16)
+    for k, part in enumerate((log.where(F.col("event_id") <= half), log.where(F.col("event_id") > half))):
+        _lines(part.select("uid", "mid", "score", "timestamp"), "|").write.text(f"{root}/in/part{k}")
+        q = jobs.realtime(spark, rating_stream(spark, "text", f"{root}/in", recursiveFileLookup="true"), None, None, root, f"{root}/ckpt",
+                          {"availableNow": True}, f"{root}/inflight", lists_path=f"{root}/lists", history_path=f"{root}/history", merge_every=2)
+        q.awaitTermination()
+    return srt.current_stream_recs(spark, f"{root}/{jobs.STREAM_RECS}")
+
+
 QUERIES: dict[str, Query] = {
     "rating_count_by_movie": q_rating_count_by_movie,
     "avg_score_by_movie": q_avg_score_by_movie,
@@ -358,6 +447,14 @@ QUERIES: dict[str, Query] = {
     "load_job_search_docs": q_load_job_search_docs,
     "statistics_job_months": q_statistics_job_months,
     "statistics_job_genres": q_statistics_job_genres,
+    "als_equations": q_als_equations,
+    "rating_counts_in_order": q_rating_counts_in_order,
+    "month_averages_in_order": q_month_averages_in_order,
+    "view_text_ratings": q_view_text_ratings,
+    "lines_to_files": q_lines_to_files,
+    "spool_provenance_stream": q_spool_provenance_stream,
+    "realtime_from_lists": q_realtime_from_lists,
+    "realtime_two_batches": q_realtime_two_batches,
 }
 
 
@@ -454,3 +551,36 @@ ORACLE |= {
         ["ratings"], "SELECT DISTINCT uid, true AS at_most_ten, true AS movies_distinct, true AS ranks_contiguous, "
                      "true AS scores_descend, true AS scores_positive, true AS scores_are_products FROM ratings"),
 }
+ORACLE |= {
+    "als_equations": with_ctes(["ratings"], "SELECT DISTINCT uid, true AS equation_holds FROM ratings"),
+    "rating_counts_in_order": with_ctes(
+        ["ratings"], "SELECT mid, count, row_number() OVER (ORDER BY count DESC, mid) AS position "
+                     "FROM (SELECT mid, count(*) AS count FROM ratings GROUP BY mid)"),
+    "month_averages_in_order": with_ctes(
+        ["ratings"], f"""SELECT mid, ym, round(a, 6) AS avg_score, row_number() OVER (ORDER BY a DESC, mid, ym) AS position,
+  row_number() OVER (PARTITION BY ym ORDER BY a DESC, mid) AS place
+FROM (SELECT mid, {YM} AS ym, avg(score) AS a FROM ratings GROUP BY ALL)"""),
+    "view_text_ratings": with_ctes(
+        ["ratings", "movies"], "SELECT m.genres, count(*) AS n, round(avg(r.score), 6) AS avg_score, count(DISTINCT r.uid) AS users "
+                               "FROM ratings r JOIN movies m ON r.mid = m.mid GROUP BY m.genres"),
+    "lines_to_files": with_ctes(["lines"], "SELECT value FROM lines"),
+    "spool_provenance_stream": with_ctes(["lines"], "SELECT value, true AS names_its_file, true AS dated_today FROM lines"),
+    "realtime_from_lists": ORACLE["realtime_recs_text"],
+    # the second batch's users are scored on the first batch's ratings; users of the first batch alone had none
+    "realtime_two_batches": with_ctes(
+        ["sims", "log"],
+        """SELECT u.uid, coalesce(e.recms, '') AS recms FROM (SELECT DISTINCT uid FROM log) u LEFT JOIN (
+  SELECT uid, string_agg(printf('%d:%.6f', mid, score), '|' ORDER BY score DESC, mid ASC) AS recms FROM scored GROUP BY uid) e
+ON u.uid = e.uid""",
+        ["""half AS MATERIALIZED (SELECT max(event_id) // 2 AS h FROM log),
+old AS MATERIALIZED (SELECT uid, mid, score, "timestamp" AS rated_at FROM log, half WHERE event_id <= h),
+hot AS MATERIALIZED (SELECT uid, mid FROM log, half WHERE event_id > h
+  QUALIFY row_number() OVER (PARTITION BY uid ORDER BY "timestamp" DESC, mid DESC) = 1),
+newest AS MATERIALIZED (SELECT uid, mid, score FROM old
+  QUALIFY row_number() OVER (PARTITION BY uid ORDER BY rated_at DESC, mid DESC) <= 11),
+choice AS MATERIALIZED (SELECT t.uid, s.other_mid AS mid FROM hot t JOIN sims s ON s.mid = t.mid
+  WHERE NOT EXISTS (SELECT 1 FROM old o WHERE o.uid = t.uid AND o.mid = s.other_mid)
+  QUALIFY row_number() OVER (PARTITION BY t.uid ORDER BY s.sim DESC, s.other_mid) <= 10),
+scored AS (SELECT c.uid, c.mid, avg(s.sim * r.score) + log2(greatest(count_if(r.score > 3), 1)) - log2(greatest(count_if(r.score <= 3), 1)) AS score
+  FROM choice c JOIN newest r ON r.uid = c.uid JOIN sims s ON s.mid = c.mid AND s.other_mid = r.mid GROUP BY c.uid, c.mid)"""]),
+}

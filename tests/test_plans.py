@@ -5,8 +5,8 @@ import pytest
 import __spark_entry__ as entry
 from tests.conftest import SMALL
 
-STREAMS = {"realtime_stream", "recent_state_stream", "spool_lines_stream"}
-TOP_K = {"genre_top10", "recent_ratings", "recent_items", "similar_unrated_top10", "pair_similarity",
+STREAMS = {"realtime_stream", "recent_state_stream", "spool_lines_stream", "spool_provenance_stream", "realtime_two_batches"}
+TOP_K = {"genre_top10", "recent_ratings", "recent_items", "similar_unrated_top10",
          "realtime_scores", "realtime_recs_text", "factor_top10", "als_user_top10"}
 
 
