@@ -22,6 +22,29 @@ from marquee.session import ship_package
 MIN_LANGUAGE_SCORE = 0.05
 
 
+#: Stored results of stages but the last, until a later stage starts on rows that are not read from them.
+_results: list[DataFrame] = []
+
+
+def _release(docs: DataFrame) -> None:
+    """Deletes the results of earlier stages that ``docs`` does not read: who
+    calls the stages has written their rows by then."""
+    if not _results:
+        return
+    files = docs.inputFiles()
+    for out in list(_results):
+        folder = "/".join(out.stored_at.rsplit("/", 2)[1:])
+        if not any(f"/{folder}/" in f for f in files):
+            Scratch(docs.sparkSession, "released").delete(out.stored_at)
+            _results.remove(out)
+
+
+def _stored(s: Scratch, df: DataFrame, name: str = "t") -> DataFrame:
+    out = s.keep(df, name, result=True)
+    _results.append(out)
+    return out
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents in a learnt language; learns as op5 does. Without any
     row to learn from it keeps all that have a letter."""
@@ -37,33 +60,37 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each component, and all without words."""
     ship_package(spark)
+    _release(docs)
     with Scratch(spark, "near") as s:
         stored, result, row = jaccard.near_duplicates(docs, s)
         stay = result.where("first").select(F.col("row").alias(row))
-        return s.keep(stored.join(stay.hint("shuffle_hash"), row, "left_semi").select(docs.columns), result=True)
+        return _stored(s, stored.join(stay.hint("shuffle_hash"), row, "left_semi").select(docs.columns))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts repeated strings out of the texts; characters that a cut splits go with it."""
     ship_package(spark)
+    _release(docs)
     with Scratch(spark, "repeats") as s:
         got = sarray.cut_repeats(docs, s)
         if "n_chars" in docs.columns:
             got = got.withColumn("n_chars", F.length("text").cast("long"))
-        return s.keep(got.select(docs.columns), result=True)
+        return _stored(s, got.select(docs.columns))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents without a benchmark window."""
+    _release(docs)
     with Scratch(spark, "leaks") as s:
         c = fresh(docs, "found")
         got = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"), c, s)
-        return s.keep(got.where(F.col(c)["n_hit"] == 0).select(docs.columns), result=True)
+        return _stored(s, got.where(F.col(c)["n_hit"] == 0).select(docs.columns))
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, n_tokens, ids (little-endian unsigned 32-bit) and whether they decode to the text."""
     ship_package(spark)
+    _release(docs)
     with Scratch(spark, "ids") as s:
         got = bpe.encode(docs.select("doc_id", "lang", "text"), "ids", s)
         same = bpe.decode()("ids") == F.coalesce("text", F.lit("")).cast("binary")
@@ -85,8 +112,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     with Scratch(spark, "pipeline") as s:
         for name, stage in STAGES:
             out = stage(spark, docs, sf_dir)
-            if getattr(out, "stored_at", None) is None:
-                out = s.keep(out, name, result=True)
-            s.discard(docs)
-            docs = out
+            docs = out if hasattr(out, "stored_at") else _stored(s, out, name)
+        _release(docs)
     return docs
