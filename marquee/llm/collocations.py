@@ -34,13 +34,13 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm.common import Scratch, shuffle_partitions, table
+from marquee.llm.common import Scratch, lean, shuffle_partitions, table
 from marquee.llm.shingles import mix
 from marquee.operators.order import with_position
 
 LEAST, LONGEST, COVER, TOP = 30, 4, 80, 2000
 #: Tokens counted together in a task, and bytes of a text split into words at a time.
-BLOCK, SLICE = 3 << 19, 1 << 18
+BLOCK, SLICE = 1 << 20, 1 << 18
 #: Most bits of the filter (2^28: 32 MiB), and bits for each key while it is smaller.
 MAX_BITS, BITS_PER_KEY = 28, 64
 _CHUNK = 16                         # bits of the filter gathered as one row
@@ -116,6 +116,7 @@ def _blocks(it: Iterator[pa.RecordBatch], size: int) -> Iterator[Block]:
     yield from open_blocks.values()
 
 
+@lean
 def _keys(it: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     """(key, n) of the words and pairs in each block."""
     for block in _blocks(it, size):
@@ -168,6 +169,7 @@ def _filter(frequent: DataFrame) -> tuple[int, np.ndarray]:
     return bits, words
 
 
+@lean
 def _phrases(it: Iterator[pa.RecordBatch], size: int, longest: int, shared) -> Iterator[pa.RecordBatch]:
     """(lang, phrase, n) of what may be frequent in each block; phrase null: all words."""
     known = Filter(*shared.value)
@@ -221,6 +223,7 @@ def count_stream(texts: DataFrame, scratch: Scratch, least: int = LEAST, longest
 SCANNED = "lang string, words array<string>, f long, parts array<long>, covers boolean"
 
 
+@lean
 def _scan(it: Iterator[pa.RecordBatch], cover: int) -> Iterator[pa.RecordBatch]:
     """Rows (run, own, lang, words, f) in order; gives each own phrase of two or
     more words with the counts of its first 1, 2, ... words, and whether it
