@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,9 +26,11 @@ from marquee.schemas import LOG_RECORD_FIELDS, RATING
 from marquee.session import scratch_dir
 from marquee.sources import fixtures as fx
 from marquee.sources import text
+from marquee.sinks import keyed_log
 from marquee.sinks.tables import write_lines_to_topic, write_table
 from marquee.sources.tables import genre_seed, read_lists, read_table, register_views
 from marquee.streaming import history as live
+from marquee.streaming import ledger
 from marquee.streaming import realtime as srt
 from marquee.streaming import state as sstate
 from marquee.streaming.ingest import ingest_logs
@@ -305,6 +308,22 @@ def q_spool_lines_stream(spark, sf):
     return spark.read.parquet(f"{root}/out").select(*LOG_RECORD_FIELDS["wechat"])
 
 
+def q_spool_ledger_days(spark, sf):
+    """Lines of a spool folder whose files share names, read by a ledger over
+    as many days as a name has files: every line once, each name once a day."""
+    root = scratch_dir(spark, "spool")
+    lines = fx.log_lines(spark, sf)
+    lines.withColumn("sub", F.crc32(F.col("value").cast("binary")) % 2).write.partitionBy("sub").text(f"{root}/in")
+
+    def deliver(batch, batch_id):
+        keyed_log.write_batch(batch, batch_id, f"{root}/out")
+
+    for day in (date(2024, 1, 1), date(2024, 1, 2)):
+        ledger.drain(spark, f"{root}/in", f"{root}/ledger", deliver, day=day)
+    return spark.read.parquet(f"{root}/out").select(
+        "value", F.col("archive_date").isin("2024-01-01", "2024-01-02").alias("dated"))
+
+
 # ---------------------------------------------------------------------- ALS
 
 def q_als_user_top10(spark, sf):
@@ -455,6 +474,7 @@ QUERIES: dict[str, Query] = {
     "spool_provenance_stream": q_spool_provenance_stream,
     "realtime_from_lists": q_realtime_from_lists,
     "realtime_two_batches": q_realtime_two_batches,
+    "spool_ledger_days": q_spool_ledger_days,
 }
 
 
@@ -564,6 +584,7 @@ FROM (SELECT mid, {YM} AS ym, avg(score) AS a FROM ratings GROUP BY ALL)"""),
         ["ratings", "movies"], "SELECT m.genres, count(*) AS n, round(avg(r.score), 6) AS avg_score, count(DISTINCT r.uid) AS users "
                                "FROM ratings r JOIN movies m ON r.mid = m.mid GROUP BY m.genres"),
     "lines_to_files": with_ctes(["lines"], "SELECT value FROM lines"),
+    "spool_ledger_days": with_ctes(["lines"], "SELECT value, true AS dated FROM lines"),
     "spool_provenance_stream": with_ctes(["lines"], "SELECT value, true AS names_its_file, true AS dated_today FROM lines"),
     "realtime_from_lists": ORACLE["realtime_recs_text"],
     # the second batch's users are scored on the first batch's ratings; users of the first batch alone had none
