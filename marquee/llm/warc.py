@@ -57,19 +57,23 @@ def _bytes(c: str) -> Column:
 
 
 def write_warc(pages: DataFrame, path: str, key: str = "page_id", url: str = "url", payload: str = "html",
-               min_revisit_bytes: int = 0, repeats: DataFrame | None = None) -> None:
+               min_revisit_bytes: int = 0, repeats: DataFrame | None = None, date: str | None = None) -> None:
     """One record per row: a response, or a revisit if another row with an equal
     payload of at least ``min_revisit_bytes`` bytes has a larger key.
 
     A null payload is empty; a null key is written as an empty id, smaller
     than all others; rows that agree in key and payload are all responses, or
-    all revisits, like the one row they repeat. Other columns are not read.
+    all revisits, like the one row they repeat. ``date`` names a timestamp column
+    for ``WARC-Date``; without one, or where it is null, the time of writing
+    stands there (UTC, whole seconds). Other columns are not read.
     ``repeats`` is ``repeated_payloads(...)`` if already stored: a stored table
     has a size, so Spark knows whether to send it to all tasks or to shuffle.
     """
     dup = repeated_payloads(pages, key, payload) if repeats is None else repeats
     p = pages.select(F.col(key).alias("id"), F.coalesce(F.col(url), F.lit("")).alias("url"),
-                     F.coalesce(F.col(payload), F.lit("")).alias("body"))
+                     F.coalesce(F.col(payload), F.lit("")).alias("body"),
+                     F.coalesce(F.lit(None) if date is None else F.col(date).cast("timestamp"),
+                                F.current_timestamp()).alias("date"))
     p = p.withColumn("digest", F.unhex(F.sha1(F.col("body").cast("binary"))))
     p = p.join(dup.withColumn("repeated", F.lit(True)), "digest", "left")
     size = F.octet_length("body")
@@ -86,6 +90,8 @@ def write_warc(pages: DataFrame, path: str, key: str = "page_id", url: str = "ur
     record = F.concat(
         F.lit("WARC/1.1\r\nWARC-Type: "), F.when(revisit, "revisit").otherwise("response"),
         F.lit("\r\nWARC-Record-ID: "), name,
+        F.lit("\r\nWARC-Date: "),
+        F.date_format(F.to_utc_timestamp("date", F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'"),
         F.lit("\r\nWARC-Target-URI: "), clean_url,
         F.lit("\r\nWARC-Payload-Digest: sha1:"), base32_sha1(F.col("body").cast("binary")), F.lit(crlf),
         F.when(revisit, refers).otherwise(""),
@@ -239,24 +245,86 @@ def _walk(key, rows):
     return rows.iloc[keep].drop(columns=["entry"])
 
 
+def _unit_lines(spark: SparkSession, path: str) -> DataFrame:
+    lines = spark.read.option("lineSep", SEPARATOR.decode()).text(path)
+    return lines.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                        F.col("value").cast("binary").alias("value"))
+
+
+def _block_bases(sums: DataFrame) -> DataFrame:
+    """file, block, taken (bytes) with the offset at which each block's units begin."""
+    w = _running("file", "block")
+    return (sums.withColumn("base", F.coalesce(F.sum("taken").over(w), F.lit(0)))
+            .withColumn("end", F.col("base") + F.col("taken")))
+
+
+def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Units with their offset, counted from the block's first, and what they take."""
+    at, pos = None, 0
+    for b in batches:
+        rows = []
+        for file, block, unit in _units(iter([b])):
+            if at != (file, block):
+                at, pos = (file, block), 0
+            if block == 0 and pos == 0 and unit.startswith(MAGIC):
+                unit, pos = unit[len(MAGIC):], len(MAGIC)
+            rows.append((file, block, pos, pos + len(unit) + len(SEPARATOR), unit))
+            pos += len(unit) + len(SEPARATOR)
+        if rows:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.binary()))],
+                names=["file", "block", "off", "stop", "unit"])
+
+
+def _joined(key, rows):
+    """The payload of one record from its units, in order."""
+    units = rows.sort_by("abs").column("unit").to_pylist()
+    head, fields = _header(units[0])
+    body = SEPARATOR.join([units[0][head:], *units[1:]])[: int(fields["content-length"])]
+    if fields.get("content-type", "").startswith("application/http"):
+        cut = body.find(END)
+        body = body[cut + len(END):] if cut >= 0 else b""
+    return pa.table({"file": [key[0].as_py()], "offset": [key[1].as_py()], "payload": pa.array([body], pa.binary())})
+
+
+def read_payloads(spark: SparkSession, path: str, records: DataFrame, scratch: Scratch) -> DataFrame:
+    """file, offset, payload (binary, without the HTTP header) of ``records``,
+    rows of ``read_warc`` over the same ``path``; a revisit's is empty.
+
+    A record is joined with the unit it begins with. Only a record that goes
+    beyond that unit, because its payload holds separators, also takes those
+    whose separator begins before its end, in whatever blocks they lie. One payload is put together in one
+    task; a record cut short gives what is there."""
+    ship_package(spark)
+    placed = _unit_lines(spark, path).mapInArrow(_placed, "file string, block long, off long, stop long, unit binary")
+    placed = scratch.keep(placed, "units")
+    base = scratch.keep(_block_bases(placed.groupBy("file", "block").agg(F.max("stop").alias("taken"))), "unit_blocks")
+    units = placed.join(base.select("file", "block", "base"), ["file", "block"]).select(
+        "file", (F.col("off") + F.col("base")).alias("abs"), "unit")
+    todo = records.select("file", "offset", "size")
+    first = todo.withColumn("abs", F.col("offset") + len(MAGIC)).join(units, ["file", "abs"])
+    more = scratch.keep(first.where(F.octet_length("unit") + len(MAGIC) < F.col("size"))
+                        .select("file", "offset", "size"), "long_records")
+    u = units.withColumnRenamed("file", "unit_file")
+    parts = more.join(u, (F.col("file") == F.col("unit_file")) & (F.col("abs") > F.col("offset") + len(MAGIC))
+                      & (F.col("abs") < F.col("offset") + F.col("size") + len(SEPARATOR))).select("file", "offset", "abs", "unit")
+    schema = "file string, offset long, payload binary"
+    return first.select("file", "offset", "abs", "unit").unionByName(parts).groupBy("file", "offset").applyInArrow(_joined, schema)
+
+
 def read_warc(spark: SparkSession, path: str, scratch: Scratch) -> DataFrame:
     """Records of the archives under ``path`` that the chain from each file's
-    start reaches: file, offset, record_type, record_id, target_uri, refers_to,
-    digest_claimed, payload_bytes (of the full payload), digest_read (of the
-    payload bytes in the archive; null for a payload that holds record
-    separators and also crosses a block boundary). A file cut short ends its
-    chain at the last whole record. Empty files give no rows."""
+    start reaches: file, offset, size (of the record), record_type, record_id,
+    target_uri, refers_to, digest_claimed, payload_bytes (of the full payload),
+    digest_read (of the payload bytes in the archive). ``read_payloads`` gives
+    the payloads; it is also used for the digests of payloads that hold record
+    separators and go on in another block. A file cut short ends its chain at
+    the last whole record. Empty files give no rows."""
     ship_package(spark)
-    sep = SEPARATOR.decode()
-    lines = spark.read.option("lineSep", sep).text(path)
-    units = lines.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-                         F.col("value").cast("binary").alias("value"))
-    cand = scratch.keep(units.mapInArrow(_candidates, CANDIDATE), "candidates")
+    cand = scratch.keep(_unit_lines(spark, path).mapInArrow(_candidates, CANDIDATE), "candidates")
     # absolute offsets: what the blocks before took
     sums = cand.where("off = -1").select("file", "block", F.col("next").alias("taken"))
-    w = _running("file", "block")
-    base = scratch.keep(sums.withColumn("base", F.coalesce(F.sum("taken").over(w), F.lit(0)))
-                        .withColumn("end", F.col("base") + F.col("taken")), "blocks")
+    base = scratch.keep(_block_bases(sums), "blocks")
     c = cand.where("size > 0").join(base, ["file", "block"]).withColumns({
         "abs": F.col("off") + F.col("base"), "abs_next": F.col("next") + F.col("base"),
         "abs_exit": F.when(F.col("exit") >= 0, F.col("exit") + F.col("base"))})
@@ -281,8 +349,19 @@ def read_warc(spark: SparkSession, path: str, scratch: Scratch) -> DataFrame:
     c = c.drop("abs_exit")
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in c.schema)
     good = c.join(entry, ["file", "block"]).groupBy("file", "block").applyInPandas(_walk, schema)
-    return good.select("file", F.col("abs").alias("offset"), "record_type", "record_id", "target_uri", "refers_to",
-                       "digest_claimed", "payload_bytes", "digest_read")
+    good = scratch.keep(good.select("file", F.col("abs").alias("offset"), "size", "record_type", "record_id", "target_uri",
+                                    "refers_to", "digest_claimed", "payload_bytes", "digest_read"), "reached")
+    parted = good.where("digest_read is null")
+    if parted.isEmpty():
+        return good
+    late = read_payloads(spark, path, parted, scratch).select(
+        "file", "offset", base32_sha1(F.col("payload")).alias("late_digest"), F.octet_length("payload").alias("late_bytes"))
+    late = scratch.keep(late, "late")
+    revisit = F.col("record_type") == "revisit"         # states the length of the payload it does not hold
+    return (good.join(late, ["file", "offset"], "left")
+            .withColumn("payload_bytes", F.when(revisit, F.col("payload_bytes"))
+                        .otherwise(F.coalesce(F.col("late_bytes").cast("long"), "payload_bytes")))
+            .withColumn("digest_read", F.coalesce("digest_read", "late_digest")).drop("late_digest", "late_bytes"))
 
 
 def _running(part: str, order: str):
@@ -304,6 +383,6 @@ def q_op1(spark: SparkSession, sf_dir: str) -> DataFrame:
             page("record_id").alias("page_id"),
             "payload_bytes", "record_type",
             F.when(F.col("record_type") == "revisit", F.col("digest_claimed"))
-            .otherwise(F.coalesce("digest_read", "digest_claimed")).alias("payload_digest"),
+            .otherwise(F.col("digest_read")).alias("payload_digest"),
             F.when(F.col("record_type") == "revisit", page("refers_to")).alias("refers_to"))
         return s.keep(out, result=True)
