@@ -24,9 +24,11 @@ exactly on their shingles.
 *No group is expanded.* Equal sets are one class from the start. The members
 of a group are first linked in a chain, those of a hot group also with the
 member that is in most hot groups; what is in one component after that needs
-no further comparison. What is still apart in a hot group is compared by bit
-sketches inside the tasks, in blocks of rows, and only pairs that the sketches
-cannot rule out are ever emitted.
+no further comparison. What is still apart in a hot group is compared inside
+the tasks, in blocks of rows: first by bit sketches, which tell only which
+components may be linked at all (a pair for each two of them that no other pair
+has joined, so never more than there are rows); then, where those components
+meet, by their shingles, which gives such pairs of those that do link.
 """
 
 from __future__ import annotations
@@ -40,7 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm.common import Scratch, lean, shuffle_partitions, table
+from marquee.llm.common import Scratch, lean, release, shuffle_partitions, table
 from marquee.llm.components import components
 from marquee.llm.sarray import numbered
 from marquee.llm.shingles import exact_shingles, mix, shingles
@@ -49,6 +51,8 @@ from marquee.llm.shingles import exact_shingles, mix, shingles
 HOT = 8
 #: Rows of a hot group's side that one task compares at a time.
 BLOCK = 2048
+#: The same where the rows bring their texts.
+TEXT_BLOCK = 1024
 
 
 def difference(n: int, num: int, den: int) -> int:
@@ -245,22 +249,77 @@ def _cross(members):
         lambda b: F.struct(a["row"].alias("u"), b["row"].alias("v")))))
 
 
+def _joining(comp: np.ndarray, x: np.ndarray, near, linked=None) -> Iterator[tuple[int, int]]:
+    """Pairs of positions that join components: of the rows ``x`` and those that
+    ``near`` names for them, a pair for each two components that no pair before
+    has joined. With ``linked`` only pairs that it confirms join."""
+    label = np.unique(comp, return_inverse=True)[1]
+    for i in x.tolist():
+        others = near(i)
+        while len(others := others[label[others] != label[i]]):
+            j = int(others[0])
+            if linked is None or linked(i, j):
+                yield i, j
+                label[label == label[j]] = label[i]
+            else:
+                others = others[1:]
+
+
+def _near_rows(pdf: pd.DataFrame, num: int, den: int):
+    """(rows of the short side, function that gives the other side's rows whose sketches do not rule out a link)."""
+    # sketches of a band or its neighbour; folded to the shortest
+    raw = [np.frombuffer(b, np.uint8) for b in pdf["sketch"]]
+    size = min(map(len, raw))
+    flat, n = np.stack([_fold(b, size) for b in raw]), pdf["n"].to_numpy()
+    x, y = np.flatnonzero(pdf["side"] == 0), np.flatnonzero(pdf["side"] == 1)
+    flat_y, n_y = flat[y], n[y]
+
+    def near(i: int) -> np.ndarray:
+        d = np.bitwise_count(flat_y ^ flat[i]).sum(axis=1, dtype=np.int64)
+        return y[(d * (den + num) <= (den - num) * (n_y + n[i])) & (np.minimum(n_y, n[i]) * den >= np.maximum(n_y, n[i]) * num)]
+
+    return x, near
+
+
 def _compare(num: int, den: int):
-    """Pairs of one block of short rows and one of any rows that may link by their sketches."""
+    """Components that one block of short rows and one of any rows may link by their sketches."""
     def compare(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        # sketches of a band or its neighbour; folded to the shortest
-        raw = [np.frombuffer(b, np.uint8) for b in pdf["sketch"]]
-        size = min(map(len, raw))
-        flat = np.stack([_fold(b, size) for b in raw])
-        n, row, comp = (pdf[c].to_numpy() for c in ("n", "row", "component"))
-        x, y = np.flatnonzero(pdf["side"] == 0), np.flatnonzero(pdf["side"] == 1)
-        u, v = [], []
-        for i in x.tolist():
-            d = np.bitwise_count(flat[y] ^ flat[i]).sum(axis=1, dtype=np.int64)
-            ok = y[(comp[y] != comp[i]) & (d * (den + num) <= (den - num) * (n[y] + n[i]))]
-            u.append(np.minimum(row[ok], row[i]))
-            v.append(np.maximum(row[ok], row[i]))
-        return pd.DataFrame({"u": np.concatenate(u) if u else [], "v": np.concatenate(v) if v else []}, dtype="int64")
+        comp = pdf["component"].to_numpy()
+        x, near = _near_rows(pdf, num, den)
+        pairs = [(comp[i], comp[j]) for i, j in _joining(comp, x, near)] if len(x) else []
+        return pd.DataFrame(pairs, columns=["u", "v"], dtype="int64")
+
+    return compare
+
+
+def _linking(k: int, num: int, den: int):
+    """Pairs of linked rows that join the components of one block of short rows and one of any rows."""
+    def compare(key, pdf: pd.DataFrame) -> pd.DataFrame:
+        row, comp, text = pdf["row"].to_numpy(), pdf["component"].to_numpy(), pdf["t"]
+        hashes: dict[int, np.ndarray] = {}
+        last: tuple = (None, set())
+
+        def hashed(i: int) -> np.ndarray:
+            if i not in hashes:
+                hashes[i] = shingles(text.iat[i], k)
+            return hashes[i]
+
+        def linked(i: int, j: int) -> bool:
+            nonlocal last
+            a, b = hashed(i), hashed(j)
+            both = len(np.intersect1d(a, b, assume_unique=True))
+            if both * den < (len(a) + len(b) - both) * num:
+                return False
+            if last[0] != i:
+                last = (i, exact_shingles(text.iat[i], k))
+            other = exact_shingles(text.iat[j], k)
+            both = len(last[1] & other)
+            return both * den >= (len(last[1]) + len(other) - both) * num
+
+        x, near = _near_rows(pdf, num, den)
+        pairs = [(min(row[i], row[j]), max(row[i], row[j])) for i, j in _joining(comp, x, near, linked)] if len(x) else []
+        release()
+        return pd.DataFrame(pairs, columns=["u", "v"], dtype="int64")
 
     return compare
 
@@ -271,17 +330,40 @@ def _fold(x: np.ndarray, size: int) -> np.ndarray:
     return x
 
 
-def _apart(named: DataFrame, mixed: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """(u, v) of hot groups in different components, one of them short: the
-    rows of a group meet block by block, each block pair in a task of its own."""
-    r = named.join(mixed, "key").join(sets.select("row", "n", "sketch"), "row")
-    blocks = lambda c: F.ceil(F.col(c) / F.lit(BLOCK)).cast("int")
+def _meet(r: DataFrame, key: str, block: int, cols: list[str]) -> DataFrame:
+    """The rows of a group, block by block, each block pair a group (key, i, j) of its
+    own: short rows (of which it has ``x``, as side 0) meet all (``y``, as side 1)."""
+    blocks = lambda c: F.ceil(F.col(c) / F.lit(block)).cast("int")
     own = lambda c: F.pmod(F.xxhash64("row"), blocks(c)).cast("int")
     every = lambda c: F.explode(F.sequence(F.lit(0), blocks(c) - 1))
-    cols = ["key", "i", "j", "side", "row", "component", "n", "sketch"]
+    cols = [key, "i", "j", "side", "row", "component", "n", "sketch", *cols]
     x = r.where("short").withColumn("i", own("x")).withColumn("j", every("y")).withColumn("side", F.lit(0)).select(cols)
     y = r.withColumn("j", own("y")).withColumn("i", every("x")).withColumn("side", F.lit(1)).select(cols)
-    return x.unionByName(y).groupBy("key", "i", "j").applyInPandas(_compare(num, den), "u long, v long")
+    return x.unionByName(y).groupBy(key, "i", "j")
+
+
+def _mixed(named: DataFrame, key: str) -> DataFrame:
+    """Groups with more than one component and a short row: their short rows (x) and all (y)."""
+    return named.groupBy(key).agg(F.min("component").alias("a"), F.max("component").alias("b"), F.count_if("short").alias("x"),
+                                  F.count(F.lit(1)).alias("y")).where("a <> b and x > 0").select(key, "x", "y")
+
+
+def _apart(named: DataFrame, sets: DataFrame, texts: DataFrame, k: int, num: int, den: int, scratch: Scratch) -> DataFrame:
+    """(u, v) that join components of hot groups, of rows that link and one of which is short.
+
+    By sketches the rows of each hot group tell which components may be linked;
+    components that hang together in this way form a cluster, and all pairs that
+    may link are in one. The rows of a cluster then meet once with their texts,
+    however many hot groups they share."""
+    sketched = sets.select("row", "n", "sketch")
+    rows = named.join(_mixed(named, "key"), "key").join(sketched, "row")
+    may = scratch.keep(_meet(rows, "key", BLOCK, []).applyInPandas(_compare(num, den), "u long, v long").distinct(), "may")
+    cluster = scratch.keep(components(may, scratch).toDF("component", "cluster"), "clusters")
+    once = named.groupBy("row", "component").agg(F.max("short").alias("short")).join(cluster, "component")
+    once = scratch.keep(once, "once")
+    rows = once.join(_mixed(once, "cluster"), "cluster").join(sketched, "row")
+    rows = scratch.keep(texts.join(rows.hint("shuffle_hash"), "row"), "rows")
+    return _meet(rows, "cluster", TEXT_BLOCK, ["t"]).applyInPandas(_linking(k, num, den), "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, scratch: Scratch, doc_id: str = "doc_id", text: str = "text", k: int = 5,
@@ -333,10 +415,9 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, doc_id: str = "doc_id", t
     rest = open_groups.select(F.explode(_cross(F.col("m"))).alias("p")).select("p.u", "p.v")
     short = members.groupBy("row", "band").agg(F.count(F.lit(1)).alias("m"), F.first("slack").alias("s")).where("m > s")
     named = scratch.keep(of(members.select("key", "band", "row")).join(
-        short.select("row", "band", F.lit(True).alias("short")), ["row", "band"], "left"), "hot")
-    mixed = named.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.count("short").alias("x"),
-                                     F.count(F.lit(1)).alias("y")).where("a <> b and x > 0").select("key", "x", "y")
-    rest = rest.unionByName(_apart(named, mixed, sets, num, den))
+        short.select("row", "band", F.lit(True).alias("short")), ["row", "band"], "left")
+        .withColumn("short", F.coalesce("short", F.lit(False))), "hot")
+    rest = rest.unionByName(_apart(named, sets, texts, k, num, den, scratch))
     rest = scratch.keep(rest.distinct().join(first, ["u", "v"], "left_anti"), "pairs")
     more = join.links(rest)
     label = scratch.keep(components(links.unionByName(more), scratch), "labels")
