@@ -4,10 +4,12 @@ Items are range-partitioned by falling norm into blocks. A product is at most
 the product of the norms, so once a user's n-th best score is above |user| times
 the largest norm of a block, that block and all after it hold nothing for the
 user. Blocks are taken in rounds of growing size: after each round the users
-keep their n best so far, and only users who can still gain go on, each to the
-blocks that it can gain from. All rounds together read the item blocks once for
-each block of open users; the number of rounds grows with the logarithm of the
-number of blocks.
+keep their n best so far, and only users who can still gain go on. Blocks that
+follow each other form runs of bounded size; a user is sent to a run once, and
+the task takes its blocks in order and raises the bars as it goes, so that it
+hands on at most n rows a user. All rounds together read the item blocks once
+for each block of open users; the number of rounds grows with the logarithm of
+the number of blocks.
 
 Scores that decide are computed pair by pair, always in the same way (matrix
 products only choose them), so that they do not depend on the blocks.
@@ -24,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee.functions.expr import norm
-from marquee.operators.blocks import CHUNK_BYTES, _matrix
+from marquee.operators.blocks import CHUNK_BYTES, DEFAULT_BLOCK_BYTES, _matrix
 from marquee.operators.topk import top_n_per_group
 from marquee.session import scratch_root, ship_package
 
@@ -36,9 +38,9 @@ MIN_PARTS = 16
 _SLACK = 1e-9
 
 
-def _vectors(df: DataFrame, key: str) -> DataFrame:
+def _vectors(df: DataFrame, key: str, kind: str) -> DataFrame:
     """(key, v, norm) of finite vectors."""
-    v = df.select(key, F.col("features").cast("array<double>").alias("v")).where(F.col("v").isNotNull())
+    v = df.select(key, F.col("features").cast(kind).alias("v")).where(F.col("v").isNotNull())
     return v.withColumn("norm", norm("v")).where(F.col("norm") < float("inf"))
 
 
@@ -66,6 +68,46 @@ def best_rows(users: np.ndarray, bars: np.ndarray, items: np.ndarray, ids: np.nd
         yield rows[keep] + lo, cols[keep], score[keep]
 
 
+def best_of_run(users: np.ndarray, bars: np.ndarray, items: np.ndarray, ids: np.ndarray, block: np.ndarray, n: int,
+                least: float | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(user rows, ids, scores): each user's ``n`` best items over blocks of falling norm."""
+    norms = np.sqrt((users * users).sum(axis=1))
+    bars = bars.copy()
+    rows, mids, scores = np.zeros(0, np.int64), np.zeros(0, ids.dtype), np.zeros(0)
+    for b in np.unique(block).tolist():
+        at = np.flatnonzero(block == b)
+        v, k = items[at], ids[at]
+        on = np.flatnonzero(norms * np.sqrt((v * v).sum(axis=1).max()) * (1 + _SLACK) >= bars)
+        if not len(on):
+            break                       # later blocks have smaller norms
+        got = [(on[r], k[c], x) for r, c, x in best_rows(users[on], bars[on], v, k, n, least) if len(r)]
+        if not got:
+            continue
+        new = [np.concatenate(x) for x in zip(*got)]
+        touched = np.zeros(len(users), bool)
+        touched[new[0]] = True
+        old = touched[rows]
+        r, m, x = (np.concatenate((a[old], c)) for a, c in zip((rows, mids, scores), new))
+        order = np.lexsort((m, -x, r))
+        r, m, x = r[order], m[order], x[order]
+        place = np.arange(len(r)) - np.searchsorted(r, r)
+        last = place == n - 1
+        bars[r[last]] = np.maximum(bars[r[last]], x[last])
+        keep = place < n
+        rows, mids, scores = (np.concatenate((a[~old], c[keep])) for a, c in zip((rows, mids, scores), (r, m, x)))
+    return rows, mids, scores
+
+
+def runs_of(blocks: list[tuple], rows: int) -> list[list[tuple]]:
+    """Blocks (block, top, n) that follow each other, ``rows`` items in a run if no block has more."""
+    runs: list[list[tuple]] = []
+    for b in blocks:
+        if not runs or sum(x[2] for x in runs[-1]) + b[2] > rows:
+            runs.append([])
+        runs[-1].append(b)
+    return runs
+
+
 def top_by_dot(
     user_f: DataFrame,
     item_f: DataFrame,
@@ -82,8 +124,11 @@ def top_by_dot(
     spark = user_f.sparkSession
     ship_package(spark)
     scratch_root(spark)                         # names the checkpoint folder
-    items, users = _vectors(item_f, "mid"), _vectors(user_f, "uid")
-    n_items, top = items.agg(F.count(F.lit(1)), F.max("norm")).first()
+    # vectors go along as they are given: float32 factors are half as wide, and the products are of doubles in any case
+    kinds = {df.schema["features"].dataType.simpleString() for df in (item_f, user_f)}
+    kind = "array<float>" if kinds == {"array<float>"} else "array<double>"
+    items, users = _vectors(item_f, "mid", kind), _vectors(user_f, "uid", kind)
+    n_items, top, width = items.agg(F.count(F.lit(1)), F.max("norm"), F.max(F.size("v"))).first()
     n_users = users.count()
     n_blocks = max(1, math.ceil(n_items / (item_rows or max(ITEM_ROWS, math.ceil(n_items / MAX_BLOCKS)))))
     if n_blocks == 1:
@@ -92,21 +137,22 @@ def top_by_dot(
         items = items.repartitionByRange(n_blocks, F.desc("norm"), F.asc("mid")).withColumn("block", F.spark_partition_id()).checkpoint()
         blocks = sorted((r["block"], r["top"], r["n"]) for r in
                         items.groupBy("block").agg(F.max("norm").alias("top"), F.count(F.lit(1)).alias("n")).collect())
+    run_rows = item_rows or max(1, DEFAULT_BLOCK_BYTES // (8 * (width or 1)))
     n_parts = max(1, math.ceil(n_users / (user_rows or max(1024, min(USER_ROWS, math.ceil(n_users / MIN_PARTS))))))
     least = -math.inf if min_score is None else min_score
     schema = "uid int, mid int, score double"
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run_task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sides: tuple[list, list] = ([], [])
         for pdf in batches:
             for side in (0, 1):
                 rows = pdf[pdf["side"] == side]
                 if len(rows):
-                    sides[side].append((rows["k"].to_numpy(), _matrix(rows, "v"), rows["bar"].to_numpy()))
+                    sides[side].append((rows["k"].to_numpy(), _matrix(rows, "v"), rows["bar"].to_numpy(), rows["block"].to_numpy()))
         if sides[0] and sides[1]:
-            (uid, u, bar), (mid, v, _) = ([np.concatenate(x) for x in zip(*s)] for s in sides)
-            for rows, cols, score in best_rows(u, bar, v, mid, n, min_score):
-                yield pd.DataFrame({"uid": uid[rows].astype("int32"), "mid": mid[cols].astype("int32"), "score": score})
+            (uid, u, bar, _), (mid, v, _, block) = ([np.concatenate(x) for x in zip(*s)] for s in sides)
+            rows, mids, score = best_of_run(u, bar, v, mid, block, n, min_score)
+            yield pd.DataFrame({"uid": uid[rows].astype("int32"), "mid": mids.astype("int32"), "score": score})
 
     if work is not None:
         work.update(all=n_users * n_items, scored=0)
@@ -114,19 +160,22 @@ def top_by_dot(
     best, at, size = None, 0, 1
     while at < len(blocks):
         part = blocks[at:at + size]
-        known = F.array(*[F.struct(F.lit(b).alias("block"), F.lit(top).alias("top")) for b, top, _ in part])
-        # no pair of the block can reach the bar if the norms' product does not
+        runs = runs_of(part, run_rows)
+        known = F.array(*[F.struct(F.lit(r).alias("run"), F.lit(run[0][1]).alias("top")) for r, run in enumerate(runs)])
+        # no pair of the run can reach the bar if the norms' product does not
         gains = F.filter(known, lambda x: (F.col("norm") * x["top"] * (1 + _SLACK) >= F.col("bar")))
         to = open_users.select("uid", "v", "bar", F.pmod(F.xxhash64("uid"), F.lit(n_parts)).cast("int").alias("part"),
-                               F.explode(F.transform(gains, lambda x: x["block"])).alias("block"))
+                               F.explode(F.transform(gains, lambda x: x["run"])).alias("run"))
         if work is not None:
-            met = {r["block"]: r["count"] for r in to.groupBy("block").count().collect()}
-            work["scored"] += sum(met.get(b, 0) * count for b, _, count in part)
+            met = {r["run"]: r["count"] for r in to.groupBy("run").count().collect()}
+            work["scored"] += sum(met.get(r, 0) * count for r, run in enumerate(runs) for _, _, count in run)
+            work["sent"] = work.get("sent", 0) + sum(met.values())
+        run_of = F.array(*[F.lit(r) for r, run in enumerate(runs) for _ in run])
         some = items.where(F.col("block").isin([b for b, _, _ in part])).select(
-            "block", F.explode(F.sequence(F.lit(0), F.lit(n_parts - 1))).alias("part"), F.lit(1).alias("side"), F.col("mid").alias("k"),
-            "v", F.lit(0.0).alias("bar"))
-        both = to.select("block", "part", F.lit(0).alias("side"), F.col("uid").alias("k"), "v", "bar").unionByName(some)
-        got = both.groupBy("block", "part").applyInPandas(run, schema)
+            F.get(run_of, F.col("block") - part[0][0]).alias("run"), F.explode(F.sequence(F.lit(0), F.lit(n_parts - 1))).alias("part"),
+            F.lit(1).alias("side"), F.col("mid").alias("k"), "v", F.lit(0.0).alias("bar"), "block")
+        both = to.select("run", "part", F.lit(0).alias("side"), F.col("uid").alias("k"), "v", "bar", F.lit(0).alias("block")).unionByName(some)
+        got = both.groupBy("run", "part").applyInPandas(run_task, schema)
         got = got if best is None else got.unionByName(best.select("uid", "mid", "score"))
         best = top_n_per_group(got, ["uid"], [F.desc("score"), F.asc("mid")], n).select("uid", "rank", "mid", "score")
         at, size = at + size, GROWTH * (at + size)
