@@ -9,10 +9,13 @@ follow each other form runs of bounded size; a user is sent to a run once, and
 the task takes its blocks in order and raises the bars as it goes, so that it
 hands on at most n rows a user. All rounds together read the item blocks once
 for each block of open users; the number of rounds grows with the logarithm of
-the number of blocks.
+the number of blocks. Where the norms close nothing (most users could still gain
+from the last block) the blocks that are left are one round.
 
 Scores that decide are computed pair by pair, always in the same way (matrix
-products only choose them), so that they do not depend on the blocks.
+products only choose them), so that they do not depend on the blocks. The products
+that choose are of vectors scaled to length one at most, in single precision, with
+a bound of its rounding left open; a run and a block of users are one task.
 """
 
 from __future__ import annotations
@@ -21,12 +24,13 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee.functions.expr import norm
-from marquee.operators.blocks import CHUNK_BYTES, DEFAULT_BLOCK_BYTES, _matrix
+from marquee.operators.blocks import CHUNK_BYTES, DEFAULT_BLOCK_BYTES
 from marquee.operators.topk import top_n_per_group
 from marquee.session import scratch_root, ship_package
 
@@ -35,6 +39,10 @@ MAX_BLOCKS = 4096
 GROWTH = 4              # a round takes so many times the blocks that all rounds before it took
 USER_ROWS = 1 << 17     # users of a block; fewer while there are not MIN_PARTS blocks
 MIN_PARTS = 16
+MAX_TASKS = 4096        # of a round; more pairs of run and user block share tasks
+TILE = 512              # items of a tile, TILE_BYTES of products: what stays in a core's cache
+TILE_BYTES = 2 << 20
+DENSE = 4               # hits of a tile, in rows of n, from which a tile's own n-th best is looked for
 _SLACK = 1e-9
 
 
@@ -44,40 +52,73 @@ def _vectors(df: DataFrame, key: str, kind: str) -> DataFrame:
     return v.withColumn("norm", norm("v")).where(F.col("norm") < float("inf"))
 
 
+def _norms(m: np.ndarray) -> np.ndarray:
+    return np.sqrt(np.einsum("ij,ij->i", m, m, dtype=np.float64))
+
+
+def _scaled(m: np.ndarray, norms: np.ndarray | float) -> np.ndarray:
+    return (m / np.where(norms > 0, norms, 1.0)).astype(np.float32)
+
+
+def _scores(users: np.ndarray, items: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
+    """The products that decide, pair by pair in double precision."""
+    return np.concatenate([np.zeros(0), *((users[rows[i:i + 65536]].astype(np.float64) * items[cols[i:i + 65536]].astype(np.float64)).sum(axis=1)
+                                          for i in range(0, len(rows), 65536))])
+
+
 def best_rows(users: np.ndarray, bars: np.ndarray, items: np.ndarray, ids: np.ndarray, n: int,
               least: float | None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(user rows, item rows, scores): each user's ``n`` best items (score desc,
     id asc) whose score reaches the user's bar and is above ``least``."""
-    slack = _SLACK * np.sqrt((users * users).sum(axis=1)) * np.sqrt((items * items).sum(axis=1).max())
-    step = max(1, CHUNK_BYTES // (8 * len(items)))
+    norms, norm = _norms(users), _norms(items).max()
+    u32, v32 = _scaled(users, norms[:, None]), _scaled(items, norm)
+    # products of vectors of length one at most are off by less than this (rounding of both and of the sum)
+    slack = np.float32((users.shape[1] + 8) * 2.0 ** -23)
+    with np.errstate(over="ignore"):
+        floors = bars / np.where(norms > 0, norms, 1.0) / (norm if norm > 0 else 1.0) - slack
+        floors = np.nextafter(np.clip(floors, -4.0, 4.0).astype(np.float32), np.float32(-8.0))
+    tile = min(len(items), TILE)
+    step = max(1, min(CHUNK_BYTES // (8 * len(items)), TILE_BYTES // (4 * tile)))
+    products, high = np.empty(step * tile, np.float32), np.empty(step, np.float32)
     for lo in range(0, len(users), step):
-        u = users[lo:lo + step]
-        s = u @ items.T
-        floor = bars[lo:lo + step]
-        if s.shape[1] > n:
-            floor = np.maximum(floor, np.partition(s, s.shape[1] - n, axis=1)[:, s.shape[1] - n])
-        rows, cols = np.nonzero(s >= (floor - slack[lo:lo + step])[:, None])
-        score = np.concatenate([np.zeros(0), *((u[rows[i:i + 65536]] * items[cols[i:i + 65536]]).sum(axis=1)
-                                               for i in range(0, len(rows), 65536))])
-        order = np.lexsort((ids[cols], -score, rows))
-        rows, cols, score = rows[order], cols[order], score[order]
-        place = np.arange(len(rows)) - np.searchsorted(rows, rows)
-        keep = place < n
+        u, floor = u32[lo:lo + step], floors[lo:lo + step]
+        rows, cols, most = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], DENSE * n * len(u)
+        for at in range(0, len(items), tile):
+            v = v32[at:at + tile]
+            s = np.matmul(u, v.T, out=products[:len(u) * len(v)].reshape(len(u), len(v)))
+            on = np.flatnonzero(np.max(s, axis=1, out=high[:len(u)]) >= floor)
+            i, j = np.nonzero(s[on] >= floor[on, None])
+            rows.append(on[i])
+            cols.append(j + at)
+            most -= len(i)
+            if most < 0:
+                break
+        if most < 0:                    # the bars close little: the n-th best of this block is a better one
+            s = u @ v32.T
+            if len(items) > n:
+                floor = np.maximum(floor, np.partition(s, len(items) - n, axis=1)[:, len(items) - n] - 2 * slack)
+            r, c = np.nonzero(s >= floor[:, None])
+        else:
+            r, c = np.concatenate(rows), np.concatenate(cols)
+        score = _scores(users[lo:lo + step], items, r, c)
+        order = np.lexsort((ids[c], -score, r))
+        r, c, score = r[order], c[order], score[order]
+        keep = np.arange(len(r)) - np.searchsorted(r, r) < n
         if least is not None:
             keep &= score > least
-        yield rows[keep] + lo, cols[keep], score[keep]
+        yield r[keep] + lo, c[keep], score[keep]
 
 
 def best_of_run(users: np.ndarray, bars: np.ndarray, items: np.ndarray, ids: np.ndarray, block: np.ndarray, n: int,
                 least: float | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(user rows, ids, scores): each user's ``n`` best items over blocks of falling norm."""
-    norms = np.sqrt((users * users).sum(axis=1))
+    norms = _norms(users)
     bars = bars.copy()
     rows, mids, scores = np.zeros(0, np.int64), np.zeros(0, ids.dtype), np.zeros(0)
     for b in np.unique(block).tolist():
         at = np.flatnonzero(block == b)
         v, k = items[at], ids[at]
-        on = np.flatnonzero(norms * np.sqrt((v * v).sum(axis=1).max()) * (1 + _SLACK) >= bars)
+        on = np.flatnonzero(norms * _norms(v).max() * (1 + _SLACK) >= bars)
         if not len(on):
             break                       # later blocks have smaller norms
         got = [(on[r], k[c], x) for r, c, x in best_rows(users[on], bars[on], v, k, n, least) if len(r)]
@@ -98,6 +139,36 @@ def best_of_run(users: np.ndarray, bars: np.ndarray, items: np.ndarray, ids: np.
     return rows, mids, scores
 
 
+def _block(column: pa.Array) -> np.ndarray:
+    """Vectors of one width as a matrix of their own type."""
+    width = pc.min_max(pc.list_value_length(column)).as_py()
+    if width["min"] != width["max"]:
+        raise ValueError(f"vectors of {width['min']} and of {width['max']} entries")
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), width["max"])
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """((uid, vectors, bars), (mid, vectors, blocks)) of each group with users and items; a group's rows come together."""
+    sides: tuple[list, list] = ([], [])
+    held = None
+    for rb in batches:
+        group = rb.column("g").to_numpy()
+        for lo, hi in zip(cut := [0, *(np.flatnonzero(np.diff(group)) + 1).tolist()], [*cut[1:], len(group)]):
+            if lo == hi:
+                continue
+            if group[lo] != held:
+                if sides[0] and sides[1]:
+                    yield tuple(tuple(map(np.concatenate, zip(*x))) for x in sides)
+                sides, held = ([], []), group[lo]
+            part = rb.slice(lo, hi - lo)
+            for side, extra in ((0, "bar"), (1, "block")):
+                rows = part.filter(pc.equal(part.column("side"), side))
+                if rows.num_rows:
+                    sides[side].append((rows.column("k").to_numpy(), _block(rows.column("v")), rows.column(extra).to_numpy()))
+    if sides[0] and sides[1]:
+        yield tuple(tuple(map(np.concatenate, zip(*x))) for x in sides)
+
+
 def runs_of(blocks: list[tuple], rows: int) -> list[list[tuple]]:
     """Blocks (block, top, n) that follow each other, ``rows`` items in a run if no block has more."""
     runs: list[list[tuple]] = []
@@ -126,7 +197,7 @@ def top_by_dot(
     scratch_root(spark)                         # names the checkpoint folder
     # vectors go along as they are given: float32 factors are half as wide, and the products are of doubles in any case
     kinds = {df.schema["features"].dataType.simpleString() for df in (item_f, user_f)}
-    kind = "array<float>" if kinds == {"array<float>"} else "array<double>"
+    kind, wide = ("array<float>", 4) if kinds == {"array<float>"} else ("array<double>", 8)
     items, users = _vectors(item_f, "mid", kind), _vectors(user_f, "uid", kind)
     n_items, top, width = items.agg(F.count(F.lit(1)), F.max("norm"), F.max(F.size("v"))).first()
     n_users = users.count()
@@ -137,22 +208,15 @@ def top_by_dot(
         items = items.repartitionByRange(n_blocks, F.desc("norm"), F.asc("mid")).withColumn("block", F.spark_partition_id()).checkpoint()
         blocks = sorted((r["block"], r["top"], r["n"]) for r in
                         items.groupBy("block").agg(F.max("norm").alias("top"), F.count(F.lit(1)).alias("n")).collect())
-    run_rows = item_rows or max(1, DEFAULT_BLOCK_BYTES // (8 * (width or 1)))
+    run_rows = item_rows or max(1, DEFAULT_BLOCK_BYTES // (wide * (width or 1)))
     n_parts = max(1, math.ceil(n_users / (user_rows or max(1024, min(USER_ROWS, math.ceil(n_users / MIN_PARTS))))))
     least = -math.inf if min_score is None else min_score
     schema = "uid int, mid int, score double"
 
-    def run_task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sides: tuple[list, list] = ([], [])
-        for pdf in batches:
-            for side in (0, 1):
-                rows = pdf[pdf["side"] == side]
-                if len(rows):
-                    sides[side].append((rows["k"].to_numpy(), _matrix(rows, "v"), rows["bar"].to_numpy(), rows["block"].to_numpy()))
-        if sides[0] and sides[1]:
-            (uid, u, bar, _), (mid, v, _, block) = ([np.concatenate(x) for x in zip(*s)] for s in sides)
+    def run_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (uid, u, bar), (mid, v, block) in _groups(batches):
             rows, mids, score = best_of_run(u, bar, v, mid, block, n, min_score)
-            yield pd.DataFrame({"uid": uid[rows].astype("int32"), "mid": mids.astype("int32"), "score": score})
+            yield pa.RecordBatch.from_arrays([pa.array(uid[rows], pa.int32()), pa.array(mids, pa.int32()), pa.array(score)], ["uid", "mid", "score"])
 
     if work is not None:
         work.update(all=n_users * n_items, scored=0)
@@ -175,7 +239,10 @@ def top_by_dot(
             F.get(run_of, F.col("block") - part[0][0]).alias("run"), F.explode(F.sequence(F.lit(0), F.lit(n_parts - 1))).alias("part"),
             F.lit(1).alias("side"), F.col("mid").alias("k"), "v", F.lit(0.0).alias("bar"), "block")
         both = to.select("run", "part", F.lit(0).alias("side"), F.col("uid").alias("k"), "v", "bar", F.lit(0).alias("block")).unionByName(some)
-        got = both.groupBy("run", "part").applyInPandas(run_task, schema)
+        # a task for each pair of run and block of users, not as many as a hash happens to give
+        groups = len(runs) * n_parts
+        both = both.withColumn("g", F.col("run") * n_parts + F.col("part")).drop("run", "part").repartitionById(min(groups, MAX_TASKS), "g")
+        got = (both if groups <= MAX_TASKS else both.sortWithinPartitions("g")).mapInArrow(run_task, schema)
         got = got if best is None else got.unionByName(best.select("uid", "mid", "score"))
         best = top_n_per_group(got, ["uid"], [F.desc("score"), F.asc("mid")], n).select("uid", "rank", "mid", "score")
         at, size = at + size, GROWTH * (at + size)
@@ -185,6 +252,10 @@ def top_by_dot(
             bar = F.when(F.col("have") == n, F.col("worst")).otherwise(F.lit(least))
             open_users = users.join(bars, "uid", "left").select("uid", "v", "norm", bar.alias("bar"))
             open_users = open_users.where(F.col("norm") * blocks[at][1] * (1 + _SLACK) >= F.col("bar"))
-            if open_users.isEmpty():
+            # the users that can gain, and those that could from the last block too
+            left, last = open_users.agg(F.count(F.lit(1)), F.count_if(F.col("norm") * blocks[-1][1] * (1 + _SLACK) >= F.col("bar"))).first()
+            if not left:
                 break
+            if 2 * last >= left:
+                size = len(blocks) - at
     return spark.createDataFrame([], "uid int, rank int, mid int, score double") if best is None else best
