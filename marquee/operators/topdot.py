@@ -25,12 +25,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee.functions.expr import norm
-from marquee.operators.blocks import CHUNK_BYTES, DEFAULT_BLOCK_BYTES
+from marquee.operators.blocks import CHUNK_BYTES, DEFAULT_BLOCK_BYTES, dealt_to_tasks, groups_of
 from marquee.operators.topk import top_n_per_group
 from marquee.session import scratch_root, ship_package
 
@@ -39,7 +38,6 @@ MAX_BLOCKS = 4096
 GROWTH = 4              # a round takes so many times the blocks that all rounds before it took
 USER_ROWS = 1 << 17     # users of a block; fewer while there are not MIN_PARTS blocks
 MIN_PARTS = 16
-MAX_TASKS = 4096        # of a round; more pairs of run and user block share tasks
 TILE = 512              # items of a tile, TILE_BYTES of products: what stays in a core's cache
 TILE_BYTES = 2 << 20
 DENSE = 4               # hits of a tile, in rows of n, from which a tile's own n-th best is looked for
@@ -139,36 +137,6 @@ def best_of_run(users: np.ndarray, bars: np.ndarray, items: np.ndarray, ids: np.
     return rows, mids, scores
 
 
-def _block(column: pa.Array) -> np.ndarray:
-    """Vectors of one width as a matrix of their own type."""
-    width = pc.min_max(pc.list_value_length(column)).as_py()
-    if width["min"] != width["max"]:
-        raise ValueError(f"vectors of {width['min']} and of {width['max']} entries")
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), width["max"])
-
-
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    """((uid, vectors, bars), (mid, vectors, blocks)) of each group with users and items; a group's rows come together."""
-    sides: tuple[list, list] = ([], [])
-    held = None
-    for rb in batches:
-        group = rb.column("g").to_numpy()
-        for lo, hi in zip(cut := [0, *(np.flatnonzero(np.diff(group)) + 1).tolist()], [*cut[1:], len(group)]):
-            if lo == hi:
-                continue
-            if group[lo] != held:
-                if sides[0] and sides[1]:
-                    yield tuple(tuple(map(np.concatenate, zip(*x))) for x in sides)
-                sides, held = ([], []), group[lo]
-            part = rb.slice(lo, hi - lo)
-            for side, extra in ((0, "bar"), (1, "block")):
-                rows = part.filter(pc.equal(part.column("side"), side))
-                if rows.num_rows:
-                    sides[side].append((rows.column("k").to_numpy(), _block(rows.column("v")), rows.column(extra).to_numpy()))
-    if sides[0] and sides[1]:
-        yield tuple(tuple(map(np.concatenate, zip(*x))) for x in sides)
-
-
 def runs_of(blocks: list[tuple], rows: int) -> list[list[tuple]]:
     """Blocks (block, top, n) that follow each other, ``rows`` items in a run if no block has more."""
     runs: list[list[tuple]] = []
@@ -214,7 +182,7 @@ def top_by_dot(
     schema = "uid int, mid int, score double"
 
     def run_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (uid, u, bar), (mid, v, block) in _groups(batches):
+        for (uid, u, bar), (mid, v, block) in groups_of(batches, ("bar",), ("block",)):
             rows, mids, score = best_of_run(u, bar, v, mid, block, n, min_score)
             yield pa.RecordBatch.from_arrays([pa.array(uid[rows], pa.int32()), pa.array(mids, pa.int32()), pa.array(score)], ["uid", "mid", "score"])
 
@@ -239,10 +207,8 @@ def top_by_dot(
             F.get(run_of, F.col("block") - part[0][0]).alias("run"), F.explode(F.sequence(F.lit(0), F.lit(n_parts - 1))).alias("part"),
             F.lit(1).alias("side"), F.col("mid").alias("k"), "v", F.lit(0.0).alias("bar"), "block")
         both = to.select("run", "part", F.lit(0).alias("side"), F.col("uid").alias("k"), "v", "bar", F.lit(0).alias("block")).unionByName(some)
-        # a task for each pair of run and block of users, not as many as a hash happens to give
-        groups = len(runs) * n_parts
-        both = both.withColumn("g", F.col("run") * n_parts + F.col("part")).drop("run", "part").repartitionById(min(groups, MAX_TASKS), "g")
-        got = (both if groups <= MAX_TASKS else both.sortWithinPartitions("g")).mapInArrow(run_task, schema)
+        both = both.withColumn("g", F.col("run") * n_parts + F.col("part")).drop("run", "part")
+        got = dealt_to_tasks(both, len(runs) * n_parts).mapInArrow(run_task, schema)
         got = got if best is None else got.unionByName(best.select("uid", "mid", "score"))
         best = top_n_per_group(got, ["uid"], [F.desc("score"), F.asc("mid")], n).select("uid", "rank", "mid", "score")
         at, size = at + size, GROWTH * (at + size)

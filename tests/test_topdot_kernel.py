@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from marquee.operators import topdot
+from marquee.operators import blocks, topdot
 from tests.test_similarity import vectors
 
 
@@ -52,7 +52,7 @@ def test_scores_that_single_precision_cannot_tell_apart(scale, least):
 def test_each_run_and_block_of_users_is_a_task(spark, monkeypatch, most):
     rng = np.random.default_rng(6)
     items, users = rng.normal(size=(2000, 6)), rng.normal(size=(150, 6))
-    monkeypatch.setattr(topdot, "MAX_TASKS", most)
+    monkeypatch.setattr(blocks, "MAX_TASKS", most)
     work = {}
     top = topdot.top_by_dot(vectors(spark, users, "uid"), vectors(spark, items), 10, 0.0, item_rows=200, user_rows=20, work=work)
     plan = topdot.top_by_dot(vectors(spark, users, "uid"), vectors(spark, items), 10, 0.0, user_rows=20)._jdf.queryExecution().analyzed().toString()
