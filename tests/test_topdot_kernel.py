@@ -80,3 +80,10 @@ def test_norms_that_close_nothing_take_one_more_round(spark):
     assert len(jobs) == 2                       # the items and the first round: 80 blocks would be four rounds
     want = brute(unit(users), unit(items), np.arange(1600), 3, 0.0)
     assert sorted((r.uid, r.mid) for r in top.select("uid", F.col("mid")).collect()) == sorted((u, j) for u, j, _ in want)
+
+
+def test_a_null_key_is_the_lowest_int(spark):
+    items = vectors(spark, np.eye(3) + 1)
+    users = spark.createDataFrame([(None, [1.0, 0.0, 0.0]), (4, [0.0, 1.0, 0.0])], "uid int, features array<double>")
+    got = sorted((r.uid, r["rank"], r.mid) for r in topdot.top_by_dot(users, items, 1).collect())
+    assert got == [(-2 ** 31, 1, 0), (4, 1, 1)]
